@@ -1,0 +1,132 @@
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from trafficlake.fixtures import traffic_from_events
+from trafficlake.functions import parsed_timestamp, utc_day, utc_hour
+from trafficlake.operators.enrich import (
+    with_congestion,
+    with_incident_flag,
+    with_parsed_ts,
+    with_partition_keys,
+    with_traffic_profile,
+)
+
+BLOCKED, DENSE, MODERATE, FREE, UNKNOWN = "Bloqué", "Dense", "Modéré", "Fluide", "Inconnu"
+# Severity reached by each reading alone, worst first.
+BY_OCCUPANCY = {0: FREE, 39: FREE, 40: MODERATE, 69: MODERATE, 70: DENSE, 84: DENSE, 85: BLOCKED, 100: BLOCKED}
+BY_SPEED = {0: BLOCKED, 20: BLOCKED, 21: DENSE, 30: DENSE, 31: MODERATE, 50: MODERATE, 51: FREE, 90: FREE}
+SEVERITY = [BLOCKED, DENSE, MODERATE, FREE]
+
+
+def test_congestion_boundaries(event):
+    cases = list(itertools.product([None, *BY_OCCUPANCY], [None, *BY_SPEED]))
+    df = with_congestion(event(*[{"occupancy_rate": o, "average_speed": s} for o, s in cases]))
+    got = {(r.occupancy_rate, r.average_speed): r.congestion_status for r in df.collect()}
+    for occupancy, speed in cases:
+        if occupancy is None or speed is None:
+            expected = UNKNOWN
+        else:
+            expected = min(BY_OCCUPANCY[occupancy], BY_SPEED[speed], key=SEVERITY.index)
+        assert got[occupancy, speed] == expected, (occupancy, speed)
+
+
+def test_no_python_worker_in_enrichment(spark, plan):
+    events = traffic_from_events(spark, "/root/testdata/sf0.001")
+    text = plan(with_incident_flag(with_traffic_profile(with_parsed_ts(with_congestion(events)))))
+    assert "Python" not in text
+
+
+def test_unreadable_timestamp_is_null(event):
+    df = with_parsed_ts(event({"timestamp": "soon"}, {"timestamp": None}, {"timestamp": "2026-01-08T10:00:00+00:00"}))
+    assert [r.timestamp_parsed is None for r in df.collect()] == [True, True, False]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_utc_parts_do_not_depend_on_session_zone(spark, zone):
+    texts = {
+        "2026-01-08T23:11:00+02:00": ("2026-01-08", 21),
+        "2026-01-08T23:59:59.9+00:00": ("2026-01-08", 23),
+        "2026-01-09T01:30:00+02:00": ("2026-01-08", 23),
+        "1969-12-31T23:59:59+00:00": ("1969-12-31", 23),
+        "2026-03-29T00:00:00+00:00": ("2026-03-29", 0),
+    }
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        instant = parsed_timestamp(F.col("t"))
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        rows = df.select("t", utc_day(instant).cast("string").alias("d"), utc_hour(instant).alias("h")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert {r.t: (r.d, r.h) for r in rows} == texts
+
+
+def test_partition_keys(event):
+    df = with_partition_keys(
+        event(
+            {"timestamp": "2026-01-08T23:59:59.9+00:00"},
+            {"timestamp": "2026-01-09T01:30:00+02:00", "zone": "Centre Ville"},
+            {"timestamp": "soon", "zone": None},
+        )
+    )
+    got = [(r.year, r.month, r.day, r.zone_key, r.zone) for r in df.collect()]
+    assert got == [
+        ("2026", "01", "08", "Centre-Ville", "Centre-Ville"),
+        ("2026", "01", "08", "Centre_Ville", "Centre Ville"),
+        (None, None, None, None, None),
+    ]
+
+
+def _at(hour):
+    return f"2026-01-08T{hour:02d}:30:00+00:00"
+
+
+def test_profile_of_each_hour(event):
+    df = with_traffic_profile(with_parsed_ts(event(*[{"sensor_id": h, "timestamp": _at(h)} for h in range(24)])))
+    got = {r.sensor_id: r for r in df.collect()}
+    for hour in range(24):
+        slot = "peak" if hour in (7, 8, 17, 18) else "normal" if 10 <= hour <= 16 else "night"
+        assert got[hour].slot == slot, hour
+    assert (got[8].vehicle_min, got[8].speed_max, got[8].occupancy_max) == (150, 30, 100)
+    assert (got[12].vehicle_max, got[12].speed_min, got[12].occupancy_min) == (150, 40, 30)
+    assert (got[9].vehicle_max, got[19].speed_min, got[0].occupancy_max) == (40, 70, 30)
+
+
+def test_in_profile(event):
+    df = with_traffic_profile(
+        with_parsed_ts(
+            event(
+                {"vehicle_count": 150, "average_speed": 15, "occupancy_rate": 100},
+                {"vehicle_count": 149, "average_speed": 15, "occupancy_rate": 100},
+                {"vehicle_count": 150, "average_speed": 31, "occupancy_rate": 100},
+                {"vehicle_count": None, "average_speed": 15, "occupancy_rate": 100},
+                timestamp=_at(7),
+            )
+        )
+    )
+    assert [r.in_profile for r in df.collect()] == [True, False, False, None]
+
+
+def test_profile_without_time(event):
+    row = with_traffic_profile(with_parsed_ts(event({"timestamp": "soon"}))).first()
+    assert row.slot is None and row.vehicle_min is None and row.in_profile is None
+
+
+@pytest.mark.parametrize("hour, slowest", [(7, 7), (12, 15), (3, 20)])
+def test_incident_signature(event, hour, slowest):
+    df = with_incident_flag(
+        with_parsed_ts(
+            event(
+                {"occupancy_rate": 100, "average_speed": slowest},
+                {"occupancy_rate": 100, "average_speed": slowest + 1},
+                {"occupancy_rate": 99, "average_speed": 0},
+                {"occupancy_rate": None, "average_speed": 0},
+                {"event": "accident"},
+                {"event": "other"},
+                timestamp=_at(hour),
+            )
+        )
+    )
+    assert [r.incident for r in df.collect()] == [True, False, False, False, True, False]

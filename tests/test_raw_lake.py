@@ -1,0 +1,113 @@
+import datetime
+import os
+
+import pytest
+
+from trafficlake.fixtures import traffic_from_events
+from trafficlake.operators.upkeep import archive, retention_split
+from trafficlake.sinks.raw import write_raw
+from trafficlake.sources.raw import read_lake, read_raw, read_raw_days
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("lake") / "raw")
+    write_raw(traffic_from_events(spark, SMALL), root)
+    return root
+
+
+def test_scan_returns_what_was_written(spark, lake):
+    expected = _rows(traffic_from_events(spark, SMALL))
+    assert _rows(read_raw(spark, lake)) == expected
+    assert _rows(read_raw(spark, f"{lake}/*/*/*/*/*.json")) == expected
+
+
+def test_days_are_pruned(spark, lake, plan):
+    df = read_raw_days(spark, lake, "2024-01-03", "2024-01-05")
+    assert {(r.year, r.month, r.day) for r in df.collect()} == {("2024", "01", d) for d in ("03", "04", "05")}
+    text = plan(df)
+    partition_filters = text[text.index("PartitionFilters") :].split("\n")[0]
+    assert "concat_ws" in partition_filters
+    assert "concat_ws" not in text[text.index("ReadSchema") :]
+
+
+def test_zone_keeps_its_spelling(spark, event, tmp_path):
+    out = str(tmp_path / "raw")
+    write_raw(event({"zone": "Quartier Résidentiel"}, {"zone": None}, {"zone": "A", "timestamp": "soon"}), out)
+    rows = read_lake(spark, out).collect()
+    assert {(r.zone, r.zone_key) for r in rows} == {
+        ("Quartier Résidentiel", "Quartier_Résidentiel"),
+        (None, None),
+        ("A", "A"),
+    }
+
+
+def test_payload_zone_wins_over_directory(spark, tmp_path):
+    """A lake whose last directory level is called ``zone``."""
+    folder = tmp_path / "year=2026" / "month=01" / "day=08" / "zone=Centre_Ville"
+    folder.mkdir(parents=True)
+    (folder / "traffic_20260108101112.jsonl").write_text(
+        '{"sensor_id": 1, "timestamp": "2026-01-08T10:11:12+00:00", "zone": "Centre Ville"}\n{broken\n'
+    )
+    for path in (str(tmp_path), f"{tmp_path}/*/*/*/*/*.jsonl"):
+        assert [(r.sensor_id, r.zone) for r in read_raw(spark, path).collect()] == [(1, "Centre Ville"), (None, None)]
+
+
+def test_busy_directory_is_split(spark, tmp_path, monkeypatch):
+    """A directory far above the advisory size is written by several tasks."""
+    out = str(tmp_path / "raw")
+    hot = traffic_from_events(spark, "/root/testdata/sf0.1").repartition(8)
+    hot = hot.selectExpr("sensor_id", "'2026-01-08T10:11:12+00:00' AS timestamp", "'Centre-Ville' AS zone",
+                         "road_type", "vehicle_count", "average_speed", "occupancy_rate", "event")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "200KB")
+    try:
+        write_raw(hot, out)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    (folder,) = [root for root, _, files in os.walk(out) if any(f.endswith(".json") for f in files)]
+    assert len([f for f in os.listdir(folder) if f.endswith(".json")]) >= 4
+    assert read_raw(spark, out).count() == 100_000
+
+
+AS_OF = datetime.date(2024, 1, 31)
+
+
+def test_retention(spark, lake, plan):
+    everything = read_lake(spark, lake)
+    keep, expired = retention_split(everything, AS_OF, keep_days=7)
+    assert max(r.day for r in expired.select("day").distinct().collect()) == "23"
+    assert min(r.day for r in keep.select("day").distinct().collect()) == "24"
+    assert keep.count() + expired.count() == everything.count()
+    assert "PartitionFilters: [" in plan(expired) and "2024-01-24" in plan(expired)
+
+
+def test_unreadable_dates_are_kept(spark, event, tmp_path):
+    out = str(tmp_path / "raw")
+    write_raw(event({"timestamp": "soon"}, {"timestamp": "2020-01-01T00:00:00+00:00"}), out)
+    keep, expired = retention_split(read_lake(spark, out), AS_OF)
+    assert [r.timestamp for r in keep.collect()] == ["soon"]
+    assert expired.count() == 1
+
+
+def test_archive_copies_and_refuses_to_replace(spark, lake, tmp_path):
+    _, expired = retention_split(read_lake(spark, lake), AS_OF)
+    before = read_raw(spark, lake).count()
+    path = archive(expired, str(tmp_path), AS_OF)
+    assert path == f"{tmp_path}/20240131"
+    assert _rows(read_lake(spark, path)) == _rows(expired)
+    assert read_raw(spark, lake).count() == before
+    with pytest.raises(Exception, match="already exists"):
+        archive(expired, str(tmp_path), AS_OF)
+
+
+def test_archive_does_not_shuffle(spark, lake, plan):
+    _, expired = retention_split(read_lake(spark, lake), AS_OF)
+    assert "Exchange" not in plan(expired)

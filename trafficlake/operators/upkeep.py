@@ -6,8 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trafficlake.schema import KPI_NAMES, RETENTION_DAYS
-from trafficlake.sinks.raw import write_raw
+from trafficlake.schema import EVENT_COLUMNS, KPI_NAMES, PARTITION_KEYS, RETENTION_DAYS
 
 
 def _parquet_files(spark: SparkSession, folder: str) -> DataFrame | None:
@@ -23,7 +22,8 @@ def _parquet_files(spark: SparkSession, folder: str) -> DataFrame | None:
 
 def validate_outputs(spark: SparkSession, base: str) -> DataFrame:
     """Parquet files per expected KPI folder; status is OK if every folder has some."""
-    counts = spark.createDataFrame([(name, 0) for name in KPI_NAMES], "folder string, n_files bigint")
+    expected = F.explode(F.array(*[F.lit(name) for name in KPI_NAMES]))
+    counts = spark.range(1).select(expected.alias("folder"), F.lit(0).cast("bigint").alias("n_files"))
     for name in KPI_NAMES:
         files = _parquet_files(spark, f"{base}/{name}")
         if files is not None:
@@ -49,8 +49,13 @@ def retention_split(
     return df.where(F.coalesce(~expired, F.lit(True))), df.where(expired)
 
 
-def archive(expired: DataFrame, archive_root: str, as_of: datetime.date) -> str:
-    """Copy expired rows below a folder named by the date. The source is never deleted."""
+def archive(expired: DataFrame, archive_root: str, as_of: datetime.date, mode: str = "error") -> str:
+    """Copy expired rows, in their directories, below a folder named by the date.
+
+    Rows already lie by directory, so nothing is shuffled. The source is never deleted, and an
+    archive that exists is not replaced unless ``mode`` says so.
+    """
     path = f"{archive_root.rstrip('/')}/{as_of:%Y%m%d}"
-    write_raw(expired, path)
+    rows = expired.select(*EVENT_COLUMNS, *PARTITION_KEYS)
+    rows.write.mode(mode).partitionBy(*PARTITION_KEYS).json(path)
     return path

@@ -24,3 +24,26 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{tempfile.mkdtemp(prefix='run-', dir='/tmp')}/{label}"
+
+
+_MIB = 1024**2
+_GIB = 1024**3
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Session settings for a batch over ``input_bytes`` of raw JSON.
+
+    Adaptive execution merges small shuffle partitions but cannot split those of an aggregate,
+    so their number follows the input: one per 4 GiB of JSON, about 1 GiB once shuffled. Large
+    inputs also get larger scan tasks, at most about 100,000 of them, as shuffle bookkeeping
+    grows with the product of the two numbers.
+    """
+    scan_bytes = min(max(128 * _MIB, input_bytes // 100_000), _GIB)
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * _MIB),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // (4 * _GIB)))),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
+    }

@@ -5,14 +5,15 @@ from trafficlake.schema import EVENT_COLUMNS, EVENT_SCHEMA, PARTITION_KEYS, RAW_
 
 
 def read_raw(spark: SparkSession, *paths: str) -> DataFrame:
-    """JSON Lines events with the declared schema; no inference pass.
+    """JSON Lines events at any depth below the paths; declared schema, no inference pass.
 
-    A path may be a directory or a glob of directories or files (``root/*/*/*/*/*.jsonl``).
-    Only payload columns come back, so a lake whose directories are called ``zone=...`` must be
-    read by glob: there the payload keeps the spelling of the zone. A lake written by a stream
-    must be read by its root, where Spark honours the log of committed files.
+    A path may be a directory or a glob (``root/*/*/*/*/*.jsonl``; a narrower one such as
+    ``root/year=2024/month=01/*`` lists less). Only payload columns come back: directory names
+    are not read, so a lake with ``zone=...`` directories keeps the zone as the event spells it.
+    Name the root of a lake written by a stream, not a glob: Spark then reads committed files only.
     """
-    return spark.read.schema(EVENT_SCHEMA).json(list(paths)).select(*EVENT_COLUMNS)
+    reader = spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", True)
+    return reader.json(list(paths))
 
 
 def read_lake(spark: SparkSession, root: str) -> DataFrame:

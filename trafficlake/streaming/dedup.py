@@ -5,11 +5,18 @@ from trafficlake.functions import parsed_timestamp
 from trafficlake.schema import EVENT_COLUMNS, EVENT_KEY
 
 
-def dedup_stream(events: DataFrame, delay: str) -> DataFrame:
+def dedup_stream(events: DataFrame, delay: str, spread: int = 8) -> DataFrame:
     """First arrival per (sensor_id, timestamp); later copies within ``delay`` are dropped.
 
-    State is one entry per key for the length of ``delay``. Events without a readable timestamp
-    carry no event time and are left out.
+    State is one entry per key for the length of ``delay``. Copies of one key are first thinned
+    out on ``spread`` tasks each, by the task they come from, so that a key holding much of the
+    stream reaches the single task that decides on it as a few rows. ``spread=1`` leaves this
+    step and its shuffle out. Events without a readable timestamp have no event time and are
+    left out.
     """
     timed = events.withColumn("event_time", parsed_timestamp(F.col("timestamp"))).where("event_time IS NOT NULL")
-    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(EVENT_KEY).select(*EVENT_COLUMNS)
+    timed = timed.withWatermark("event_time", delay)
+    if spread > 1:
+        timed = timed.withColumn("lane", F.spark_partition_id() % spread)
+        timed = timed.dropDuplicatesWithinWatermark([*EVENT_KEY, "lane"])
+    return timed.dropDuplicatesWithinWatermark(EVENT_KEY).select(*EVENT_COLUMNS)

@@ -3,17 +3,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trafficlake.operators.enrich import with_partition_keys
-from trafficlake.schema import EVENT_KEY, PARTITION_KEYS
+from trafficlake.schema import EVENT_COLUMNS, PARTITION_KEYS
 from trafficlake.sources.codec import quarantine, storable_events
 
 
-def _spread(df: DataFrame, writers: int, spread: int) -> DataFrame:
-    """Bring rows of one directory to at most ``spread`` of ``writers`` tasks.
+def _spread(df: DataFrame, writers: int, spread: int | None) -> DataFrame:
+    """Bring the rows of one directory to at most ``spread`` of ``writers`` tasks.
 
-    The salt comes from the event, so a repeated task writes the same rows, and a busy zone is
-    shared by several tasks.
+    The salt comes from the event, so a repeated task writes the same rows. By default a
+    directory may use a third of the tasks, which keeps them even if it gets a third of the rows.
     """
-    salt = F.pmod(F.xxhash64(*EVENT_KEY), F.lit(spread))
+    salt = F.pmod(F.xxhash64(*EVENT_COLUMNS), F.lit(spread or -(-writers // 3)))
     return df.repartition(writers, *PARTITION_KEYS, salt)
 
 
@@ -23,7 +23,7 @@ def ingest_stream(
     checkpoint: str,
     trigger: dict | None = None,
     writers: int | None = None,
-    spread: int = 4,
+    spread: int | None = None,
 ) -> StreamingQuery:
     """Store the messages' events in the raw lake, each exactly once.
 
