@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from trafficlake.__main__ import main
 from trafficlake.fixtures import traffic_from_events
 from trafficlake.operators import kpis, serving
 from trafficlake.operators.enrich import enrich
@@ -187,3 +188,13 @@ def test_settings_grow_with_input():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert 20_000 < int(large["spark.sql.shuffle.partitions"]) < 30_000
     assert 100 * 10**12 / int(large["spark.sql.files.maxPartitionBytes"]) < 101_000
+
+
+def test_command_line(spark, tmp_path, capsys):
+    write_raw(traffic_from_events(spark, SMALL), f"{tmp_path}/raw")
+    main(["batch", f"{tmp_path}/raw/*/*/*/*/*.json", f"{tmp_path}/a", f"{tmp_path}/s", "--clean", f"{tmp_path}/c"])
+    assert "855" in capsys.readouterr().out
+    assert clean_events(spark, f"{tmp_path}/c").count() == 855
+    main(["validate", f"{tmp_path}/a"])
+    out = capsys.readouterr().out
+    assert "kpi_zone" in out and "OK" in out and "PARTIAL" not in out

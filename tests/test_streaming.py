@@ -118,6 +118,7 @@ def test_topic_options():
         "minOffsetsPerTrigger": "50",
         "maxTriggerDelay": "30s",
     }
+    assert topic_batching(1000, "1m", 5000)["maxOffsetsPerTrigger"] == "5000"
     assert topic_options("b:9092", startingOffsets="latest")["startingOffsets"] == "latest"
     assert topic_sink_options("b:9092", "t") == {
         "kafka.bootstrap.servers": "b:9092",

@@ -5,13 +5,19 @@ from pyspark.sql import DataFrame, SparkSession
 from trafficlake.schema import BATCH_MAX_DELAY, BATCH_MIN_MESSAGES, TOPIC_NAME
 
 
-def topic_batching(min_rows: int = BATCH_MIN_MESSAGES, max_delay: str = BATCH_MAX_DELAY) -> dict[str, str]:
+def topic_batching(
+    min_rows: int = BATCH_MIN_MESSAGES, max_delay: str = BATCH_MAX_DELAY, max_rows: int | None = None
+) -> dict[str, str]:
     """Source options that start a micro-batch at ``min_rows`` new messages or after ``max_delay``.
 
     The small defaults suit a demo feed. Raise ``min_rows`` with the rate of the topic, since
-    every micro-batch writes at least one file per day and zone.
+    every micro-batch writes at least one file per day and zone. ``max_rows`` bounds a
+    micro-batch, above all the first one, which starts at the beginning of the topic.
     """
-    return {"minOffsetsPerTrigger": str(min_rows), "maxTriggerDelay": max_delay}
+    options = {"minOffsetsPerTrigger": str(min_rows), "maxTriggerDelay": max_delay}
+    if max_rows is not None:
+        options["maxOffsetsPerTrigger"] = str(max_rows)
+    return options
 
 
 def topic_options(servers: str, topic: str = TOPIC_NAME, **options: str) -> dict[str, str]:
