@@ -1,6 +1,10 @@
+import json
+import random
+
 import pytest
 
 from trafficlake.fixtures import traffic_from_events
+from trafficlake.schema import EVENT_SCHEMA
 from trafficlake.sources.codec import classify_messages, decode_events, encode_events, quarantine, storable_events
 
 VALID = '{"sensor_id": 3, "timestamp": "2026-01-08T10:11:12+00:00", "zone": "Périphérie", "vehicle_count": 12}'
@@ -10,6 +14,14 @@ MESSAGES = {
     '{"vehicle_count":"x","zone":"A","timestamp":"2026-01-08T10:11:12+00:00"}': "undecodable",
     "[1, 2]": "undecodable",
     f"[{VALID}]": "undecodable",
+    VALID + VALID: "undecodable",
+    f"{VALID},{VALID}": "undecodable",
+    VALID + " trailing": "undecodable",
+    VALID + "}": "undecodable",
+    VALID + "]": "undecodable",
+    VALID + "]}": "undecodable",
+    VALID.replace('"', "'"): "undecodable",
+    "7": "undecodable",
     "null": "undecodable",
     "": "undecodable",
     "  ": "undecodable",
@@ -56,6 +68,33 @@ def test_absent_event_is_left_out(event):
     assert '"event":"accident"' in rows[1].value
 
 
+def test_damaged_messages_against_a_plain_parser(spark):
+    """Valid messages with one to three characters removed, doubled or replaced."""
+    rng = random.Random(7)
+    texts = set()
+    for _ in range(1500):
+        text = list(VALID)
+        for _ in range(rng.randint(1, 3)):
+            at = rng.randrange(len(text))
+            text[at : at + 1] = rng.choice(["", text[at] * 2, rng.choice('{}[]",:0x ')])
+        texts.add("".join(text))
+
+    def is_event(text):
+        try:
+            event = json.loads(text)
+        except ValueError:
+            return False
+        counts = [event.get(f.name) for f in EVENT_SCHEMA if f.dataType.simpleString() == "bigint"]
+        return all(n is None or type(n) is int for n in counts)
+
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    decoded = {r.value for r in classify_messages(df).collect() if r.reason != "undecodable"}
+    expected = {t for t in texts if is_event(t)}
+    assert decoded == expected
+    assert 0 < len(expected) < len(texts)
+    assert storable_events(df).count() + quarantine(df).count() == len(texts)
+
+
 def test_roundtrip(spark):
     events = traffic_from_events(spark, "/root/testdata/sf0.001")
     assert sorted(map(str, decode_events(encode_events(events)).collect())) == sorted(map(str, events.collect()))

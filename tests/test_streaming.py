@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 
@@ -63,6 +64,16 @@ def test_restart_adds_only_new_messages(spark, feed):
     assert sorted(r.sensor_id for r in read_raw(spark, feed.out).collect()) == [1, 2]
 
 
+def test_uncommitted_files_are_not_read(spark, feed):
+    """What a failed attempt leaves behind is not in the stream's file log."""
+    feed.send(_message(1, "2026-01-08T10:00:00+00:00"))
+    feed.ingest(spark)
+    (folder,) = Path(feed.out).glob("year=*/month=*/day=*/zone_key=*")
+    (folder / "part-stray.json").write_text(_message(9, "2026-01-08T10:00:00+00:00") + "\n")
+    for reader in (read_raw, read_lake):
+        assert [r.sensor_id for r in reader(spark, feed.out).collect()] == [1]
+
+
 def test_stream_equals_batch(spark, feed, tmp_path, event):
     events = event(*[{"sensor_id": s, "zone": z} for s in range(20) for z in ("A b", "C")])
     values = [r.value for r in encode_events(events).collect()]

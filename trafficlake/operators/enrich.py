@@ -35,12 +35,12 @@ def with_partition_keys(df: DataFrame) -> DataFrame:
 
     The zone itself stays in the payload with its spelling.
     """
-    day = utc_day(parsed_timestamp(F.col("timestamp")))
+    day = utc_day(parsed_timestamp(F.col("timestamp"))).cast("string")
     return df.withColumns(
         {
-            "year": F.date_format(day, "yyyy"),
-            "month": F.date_format(day, "MM"),
-            "day": F.date_format(day, "dd"),
+            "year": F.substring(day, 1, 4),
+            "month": F.substring(day, 6, 2),
+            "day": F.substring(day, 9, 2),
             "zone_key": F.replace(F.col("zone"), F.lit(" "), F.lit("_")),
         }
     )

@@ -6,27 +6,39 @@ from pyspark.sql import functions as F
 from trafficlake.functions import parsed_timestamp
 from trafficlake.schema import EVENT_COLUMNS, EVENT_SCHEMA
 
-_CORRUPT = "_corrupt_record"
-_DECODE_SCHEMA = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in EVENT_SCHEMA)}, {_CORRUPT} string"
-_DECODE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+_EVENT_DDL = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in EVENT_SCHEMA)
+_ENVELOPE_DDL = f"messages array<struct<{_EVENT_DDL}>>, complete boolean, corrupt string"
+_PARSER_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt", "allowSingleQuotes": "false"}
 
 
 def classify_messages(df: DataFrame) -> DataFrame:
     """``value`` as text, the event columns, and ``reason``: NULL for a storable event.
 
+    Spark's parser stops at the end of the first JSON value and ignores what follows. Each
+    message is therefore parsed as the only element of a list, where a second value or other
+    text after the event is an error rather than lost.
+
     The parsed struct goes through ``inline``: conditions on its fields cannot be pushed below
     a generator, so each message is parsed once, however many filters follow.
     """
-    parsed = F.from_json("value", _DECODE_SCHEMA, _DECODE_OPTIONS)
+    envelope = F.concat(F.lit('{"messages":['), F.col("value"), F.lit('],"complete":true}'))
+    parsed = F.from_json(envelope, _ENVELOPE_DDL, _PARSER_OPTIONS)
     rows = df.select(F.col("value").cast("string").alias("value")).select("value", F.inline(F.array(parsed)))
-    blank = F.coalesce(F.trim("value") == "", F.lit(True))
+    event = F.get("messages", 0)
+    decodable = (
+        F.col("corrupt").isNull()
+        & F.col("complete")
+        & (F.size("messages") == 1)
+        & event.isNotNull()
+        & F.is_valid_utf8("value")
+    )
     reason = (
-        F.when(blank | F.col(_CORRUPT).isNotNull() | ~F.is_valid_utf8("value"), "undecodable")
-        .when(F.col("timestamp").isNull(), "missing timestamp")
-        .when(parsed_timestamp(F.col("timestamp")).isNull(), "bad timestamp")
-        .when(F.col("zone").isNull(), "missing zone")
+        F.when(~F.coalesce(decodable, F.lit(False)), "undecodable")
+        .when(event["timestamp"].isNull(), "missing timestamp")
+        .when(parsed_timestamp(event["timestamp"]).isNull(), "bad timestamp")
+        .when(event["zone"].isNull(), "missing zone")
     )
-    return rows.select("value", *EVENT_COLUMNS, reason.alias("reason"))
+    return rows.select("value", *[event[c].alias(c) for c in EVENT_COLUMNS], reason.alias("reason"))
 
 
 def decode_events(df: DataFrame) -> DataFrame:
