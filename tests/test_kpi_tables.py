@@ -11,6 +11,7 @@ from trafficlake.fixtures import traffic_from_events
 from trafficlake.operators import kpis, serving
 from trafficlake.operators.enrich import enrich
 from trafficlake.operators.upkeep import validate_outputs
+from trafficlake.plans import batch
 from trafficlake.plans.batch import clean_events, run_batch, traffic_clean
 from trafficlake.schema import KPI_NAMES, METRICS, SAMPLE_COLUMNS
 from trafficlake.session import scratch_dir, settings_for
@@ -25,7 +26,7 @@ SMALL = "/root/testdata/sf0.001"
 def job(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("job")
     write_raw(traffic_from_events(spark, SMALL), f"{base}/raw")
-    result = run_batch(spark, f"{base}/raw", f"{base}/analytics", f"{base}/sample")
+    result = run_batch(spark, f"{base}/raw", f"{base}/analytics", f"{base}/sample", f"{base}/clean")
     return str(base), result
 
 
@@ -45,6 +46,14 @@ def test_job_counts_and_clean_table(spark, job, clean):
     assert _rows(stored.select(*clean.columns)) == _rows(clean)
 
 
+def test_staged_table_is_emptied_unless_kept(spark, job, tmp_path, monkeypatch):
+    monkeypatch.setattr(batch, "scratch_dir", lambda spark, label: f"{tmp_path}/scratch")
+    result = run_batch(spark, f"{job[0]}/raw", f"{tmp_path}/analytics", f"{tmp_path}/sample")
+    assert result.clean_path is None
+    assert tuple(result.quality.first()) == (1000, 857, 855)
+    assert spark.read.parquet(f"{tmp_path}/scratch/clean").count() == 0
+
+
 @pytest.mark.parametrize("name", KPI_NAMES)
 def test_job_tables(spark, job, clean, name):
     table = read_kpi(spark, f"{job[0]}/analytics", name)

@@ -16,10 +16,10 @@ from trafficlake.sources.raw import read_raw
 
 
 class BatchResult(NamedTuple):
-    clean_path: str
-    """Clean, unique, enriched events as Parquet (see ``clean_events``)."""
     quality: DataFrame
     """One row: rows read, in range, unique."""
+    clean_path: str | None
+    """Clean, unique, enriched events as Parquet (see ``clean_events``), if kept."""
 
 
 def traffic_clean(raw: DataFrame) -> DataFrame:
@@ -58,17 +58,20 @@ def run_batch(
 
     The clean events are written as a Parquet table instead of being cached: an executor that
     disappears then costs no second parse of the raw JSON, and KPIs and sample read only the
-    columns they need. The table goes to ``clean_path``, by default below the session's
-    checkpoint folder, and is left for the caller.
+    columns they need. Name a ``clean_path`` to keep the table, which each run replaces.
+    Otherwise it lies below the session's checkpoint folder and is emptied at the end.
     """
     use_utc(spark)
     scratch = scratch_dir(spark, "batch")
-    clean_path = clean_path or f"{scratch}/clean"
-    _require_apart(raw=raw, analytics=analytics, sample=sample, clean_path=clean_path)
+    staged = clean_path or f"{scratch}/clean"
+    _require_apart(raw=raw, analytics=analytics, sample=sample, clean_path=staged)
 
     # Rows of keys without any reading in range have NULL readings; only the counts use them.
-    enrich(tally(read_raw(spark, raw))).write.mode("overwrite").parquet(clean_path)
-    events = clean_events(spark, clean_path)
-    write_kpis(events, analytics, f"{scratch}/kpi_all")
-    write_sample(sample_events(events), sample)
-    return BatchResult(clean_path, tally_report(spark.read.parquet(clean_path)))
+    enrich(tally(read_raw(spark, raw))).write.mode("overwrite").parquet(staged)
+    tallied = spark.read.parquet(staged)
+    tally_report(tallied).write.parquet(f"{scratch}/quality")
+    write_kpis(survivors(tallied), analytics, f"{scratch}/kpi_all")
+    write_sample(sample_events(survivors(tallied)), sample)
+    if clean_path is None:
+        spark.createDataFrame([], tallied.schema).write.mode("overwrite").parquet(staged)
+    return BatchResult(spark.read.parquet(f"{scratch}/quality"), clean_path)

@@ -162,6 +162,8 @@ FROM events WHERE event_id % 50 IN (0, 10, 20, 30, 40)""",
     "encode_decode_roundtrip": f"WITH {_RAW} SELECT {_EVENT} FROM traffic_raw",
     "stream_ingest": f"""WITH {_RAW}
 SELECT {_EVENT}, {_KEYS} FROM traffic_raw WHERE event_id % 50 NOT IN (0, 10, 20, 30, 40)""",
+    "stream_dedup": f"""WITH {_RAW}
+SELECT DISTINCT sensor_id, "timestamp" FROM traffic_raw WHERE event_id % 50 NOT IN (0, 10, 20, 30, 40)""",
     "kpi_road_roundtrip": f"WITH {_KPIS} SELECT * FROM kpi_road_type",
     "kpi_zone_roundtrip": f"WITH {_KPIS} SELECT * FROM kpi_zone",
     "sample_csv_roundtrip": _SAMPLE,

@@ -21,6 +21,7 @@ from trafficlake.sources import codec
 from trafficlake.sources.kpi import read_kpi
 from trafficlake.sources.raw import read_lake, read_raw, read_raw_days
 from trafficlake.sources.topic import read_file_stream
+from trafficlake.streaming.dedup import dedup_stream
 from trafficlake.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -244,6 +245,18 @@ def stream_ingest(spark, sf_dir):
     return read_lake(spark, f"{scratch}/raw")
 
 
+@query
+def stream_dedup(spark, sf_dir):
+    """Keys of the stream's unique events. Which copy arrives first is chance, so only those."""
+    scratch = scratch_dir(spark, "stream")
+    _messages(spark, sf_dir).write.text(f"{scratch}/messages")
+    events = codec.storable_events(read_file_stream(spark, f"{scratch}/messages"))
+    unique = dedup_stream(events, delay="90 days").writeStream.format("parquet").outputMode("append")
+    unique = unique.option("checkpointLocation", f"{scratch}/checkpoint").trigger(availableNow=True)
+    unique.start(f"{scratch}/unique").awaitTermination()
+    return spark.read.parquet(f"{scratch}/unique").select("sensor_id", "timestamp")
+
+
 # --- KPI files ---------------------------------------------------------------------------------
 
 
