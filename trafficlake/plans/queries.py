@@ -31,6 +31,13 @@ QUERIES: dict[str, Query] = {}
 DAY_RANGE = ("2024-01-10", "2024-01-16")
 RETENTION_AS_OF = datetime.date(2024, 1, 31)
 METRIC_REQUEST = [METRICS[3], METRICS[0], "traffic.none", METRICS[1], METRICS[2], METRICS[0]]
+# Label, count and mean column of each KPI table.
+KPI_ROWS = {
+    "kpi_road_type": ("road_type", "total_events", "avg_speed"),
+    "kpi_zone": ("zone", "total_events", "avg_occupancy"),
+    "kpi_hourly": ("hour", "total_vehicles_counted", "avg_vehicles_per_sensor"),
+    "kpi_congestion": ("congestion_status", "count", None),
+}
 
 
 def query(fn: Query) -> Query:
@@ -307,14 +314,6 @@ def batch_job(spark, sf_dir):
     return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
 
 
-KPI_ROWS = {
-    "kpi_road_type": ("road_type", "total_events", "avg_speed"),
-    "kpi_zone": ("zone", "total_events", "avg_occupancy"),
-    "kpi_hourly": ("hour", "total_vehicles_counted", "avg_vehicles_per_sensor"),
-    "kpi_congestion": ("congestion_status", "count", None),
-}
-
-
 @query
 def validate_outputs(spark, sf_dir):
     checked = upkeep.validate_outputs(spark, _kpi_base(spark, sf_dir))
