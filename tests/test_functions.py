@@ -1,4 +1,6 @@
+import datetime
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from trafficlake.fixtures import traffic_from_events
 from trafficlake.functions import parsed_timestamp, utc_day, utc_hour
 from trafficlake.operators.enrich import (
     with_congestion,
+    with_hour,
     with_incident_flag,
     with_parsed_ts,
     with_partition_keys,
@@ -79,6 +82,20 @@ def test_partition_keys(event):
     ]
 
 
+def test_partition_keys_against_datetime(event):
+    rng = random.Random(11)
+    texts = set()
+    for _ in range(400):
+        offset = datetime.timezone(datetime.timedelta(minutes=15 * rng.randint(-48, 56)))
+        moment = datetime.datetime(1971, 1, 1) + datetime.timedelta(microseconds=rng.randrange(4 * 10**15))
+        texts.add(moment.replace(tzinfo=offset).isoformat())
+    rows = with_hour(with_parsed_ts(with_partition_keys(event(*[{"timestamp": t} for t in texts])))).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        utc = datetime.datetime.fromisoformat(row.timestamp).astimezone(datetime.timezone.utc)
+        assert (row.year, row.month, row.day, row.hour) == (f"{utc:%Y}", f"{utc:%m}", f"{utc:%d}", utc.hour)
+
+
 def _at(hour):
     return f"2026-01-08T{hour:02d}:30:00+00:00"
 

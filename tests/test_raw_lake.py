@@ -59,7 +59,7 @@ def test_payload_zone_wins_over_directory(spark, tmp_path):
         assert [(r.sensor_id, r.zone) for r in read_raw(spark, path).collect()] == [(1, "Centre Ville"), (None, None)]
 
 
-def test_busy_directory_is_split(spark, tmp_path, monkeypatch):
+def test_busy_directory_is_split(spark, tmp_path):
     """A directory far above the advisory size is written by several tasks."""
     out = str(tmp_path / "raw")
     hot = traffic_from_events(spark, "/root/testdata/sf0.1").repartition(8)
@@ -77,6 +77,16 @@ def test_busy_directory_is_split(spark, tmp_path, monkeypatch):
     assert read_raw(spark, out).count() == 100_000
 
 
+def test_without_adaptive_execution(spark, event, tmp_path):
+    out = str(tmp_path / "raw")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_raw(event({"sensor_id": 1}, {"sensor_id": 2}), out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(r.sensor_id for r in read_raw(spark, out).collect()) == [1, 2]
+
+
 AS_OF = datetime.date(2024, 1, 31)
 
 
