@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trafficlake.fixtures import traffic_from_events
-from trafficlake.functions import parsed_timestamp, utc_day, utc_hour
+from trafficlake.functions import parsed_timestamp, round_half_even, utc_day, utc_hour
 from trafficlake.operators.enrich import (
     with_congestion,
     with_hour,
@@ -96,6 +96,20 @@ def test_partition_keys_against_datetime(event):
         assert (row.year, row.month, row.day, row.hour) == (f"{utc:%Y}", f"{utc:%m}", f"{utc:%d}", utc.hour)
 
 
+def test_rounding_is_exact(spark):
+    rng = random.Random(5)
+    values = {0.0, 0.125, 0.375, 2.675, 1.005, 0.005, 0.015, 0.995, 99.995, 1000000.125, 1000000.375, -0.125, -1.5}
+    values |= {rng.randrange(10**6) / 1000 for _ in range(3000)}  # every tenth ends in 5
+    values |= {rng.randrange(1, 10**6) / rng.randrange(1, 10**4) for _ in range(3000)}
+    values |= {rng.randrange(10**4) / 8 for _ in range(500)}
+    values |= {rng.randrange(10**4) / 10**6 for _ in range(500)} | {k / 1000 for k in range(100)}
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+    rows = df.select("v", round_half_even(F.col("v")).alias("r")).collect()
+    assert len(rows) == len(values) + 1
+    wrong = [(r.v, r.r) for r in rows if r.r != (None if r.v is None else round(r.v, 2))]
+    assert wrong == []
+
+
 def _at(hour):
     return f"2026-01-08T{hour:02d}:30:00+00:00"
 

@@ -2,6 +2,7 @@
 
 from trafficlake.functions.congestion import congestion_level
 from trafficlake.functions.profile import incident_flag, profile_bounds, within_profile
+from trafficlake.functions.rounding import round_half_even
 from trafficlake.functions.timestamps import parsed_timestamp, utc_day, utc_hour
 
 __all__ = [
@@ -9,6 +10,7 @@ __all__ = [
     "incident_flag",
     "parsed_timestamp",
     "profile_bounds",
+    "round_half_even",
     "utc_day",
     "utc_hour",
     "within_profile",

@@ -9,6 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trafficlake.functions import round_half_even
 from trafficlake.schema import METRICS, SAMPLE_COLUMNS, SAMPLE_ROWS, TOP_CONGESTED_ZONES, UNKNOWN_LABEL
 from trafficlake.sources.kpi import read_kpi
 
@@ -18,7 +19,7 @@ def _label(column: str) -> F.Column:
 
 
 def _rounded(column: str) -> F.Column:
-    return F.round(column, 2).alias(column)
+    return round_half_even(F.col(column)).alias(column)
 
 
 def view_zones(kpi: DataFrame) -> DataFrame:
@@ -67,9 +68,10 @@ def _points(kpi: DataFrame, series: _Series) -> DataFrame:
     order = F.desc(series.order) if series.descending else F.asc(series.order)
     position = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(order, series.label)) - 1
     label = F.col(series.label) if series.label == "hour" else _label(series.label)
+    value = _rounded(series.value) if series.value.startswith("avg_") else F.col(series.value)
     points = kpi.select(
         position.alias("pos"),
-        F.round(F.col(series.value).cast("double"), 2).alias("value"),
+        value.cast("double").alias("value"),
         label.cast("string").alias("label"),
     )
     return points if series.top is None else points.where(F.col("pos") < series.top)
