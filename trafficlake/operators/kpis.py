@@ -4,7 +4,7 @@ All measures are sums and counts of integers until the last division, so they ca
 pre-aggregated before any shuffle and rolled up again without changing the result.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficlake.operators.enrich import with_hour
@@ -16,40 +16,40 @@ _DIMENSIONS = {
     "kpi_hourly": "hour",
     "kpi_congestion": "congestion_status",
 }
-_READINGS = ["average_speed", "occupancy_rate", "vehicle_count"]
+# Measures by name: the reading averaged, the reading counted where present. Others count events.
+_MEANS = {
+    "avg_speed": "average_speed",
+    "avg_occupancy": "occupancy_rate",
+    "avg_vehicles_per_sensor": "vehicle_count",
+}
+_COUNTS = {"total_vehicles_counted": "vehicle_count"}
+
+
+def _measure(name: str) -> Column:
+    if name in _MEANS:
+        return F.avg(_MEANS[name]).alias(name)
+    return F.count(_COUNTS.get(name, F.lit(1))).alias(name)
+
+
+def _kpi(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
+    dimension = _DIMENSIONS[name]
+    measures = [_measure(c) for c in KPI_SCHEMAS[name].names if c != dimension]
+    return df.groupBy(dimension).agg(*measures).orderBy(*order)
 
 
 def kpi_road_type(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy("road_type")
-        .agg(F.avg("average_speed").alias("avg_speed"), F.count(F.lit(1)).alias("total_events"))
-        .orderBy(F.desc("avg_speed"), "road_type")
-    )
+    """Mean speed and events by road type, fastest first."""
+    return _kpi(df, "kpi_road_type", F.desc("avg_speed"), "road_type")
 
 
 def kpi_zone(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy("zone")
-        .agg(
-            F.avg("occupancy_rate").alias("avg_occupancy"),
-            F.avg("average_speed").alias("avg_speed"),
-            F.count(F.lit(1)).alias("total_events"),
-        )
-        .orderBy(F.desc("avg_occupancy"), "zone")
-    )
+    """Mean occupancy and speed and events by zone, most occupied first."""
+    return _kpi(df, "kpi_zone", F.desc("avg_occupancy"), "zone")
 
 
 def kpi_hourly(df: DataFrame) -> DataFrame:
     """``total_vehicles_counted`` is the number of readings with a vehicle count, not their sum."""
-    return (
-        with_hour(df)
-        .groupBy("hour")
-        .agg(
-            F.count("vehicle_count").alias("total_vehicles_counted"),
-            F.avg("vehicle_count").alias("avg_vehicles_per_sensor"),
-        )
-        .orderBy("hour")
-    )
+    return _kpi(with_hour(df), "kpi_hourly", "hour")
 
 
 def kpi_hourly_volume(df: DataFrame) -> DataFrame:
@@ -58,11 +58,8 @@ def kpi_hourly_volume(df: DataFrame) -> DataFrame:
 
 
 def kpi_congestion(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy("congestion_status")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(F.desc("count"), "congestion_status")
-    )
+    """Events by congestion level, most frequent first."""
+    return _kpi(df, "kpi_congestion", F.desc("count"), "congestion_status")
 
 
 def kpi_all(df: DataFrame) -> DataFrame:
@@ -72,23 +69,18 @@ def kpi_all(df: DataFrame) -> DataFrame:
     sets, which copy each input row four times, then run on those few rows only.
     """
     dimensions = list(_DIMENSIONS.values())
+    readings = list(_MEANS.values())
     cube = with_hour(df).groupBy(*dimensions).agg(
         F.count(F.lit(1)).alias("events"),
-        *[F.sum(r).alias(f"{r}_sum") for r in _READINGS],
-        *[F.count(r).alias(f"{r}_n") for r in _READINGS],
+        *[F.sum(r).alias(f"{r}_sum") for r in readings],
+        *[F.count(r).alias(f"{r}_n") for r in readings],
     )
-
-    def average(reading: str) -> F.Column:
-        return F.try_divide(F.sum(f"{reading}_sum"), F.sum(f"{reading}_n"))
-
     # grouping() is 0 for the one dimension a row is grouped by.
     kpi = F.coalesce(*[F.when(F.grouping(d) == 0, F.lit(name)) for name, d in _DIMENSIONS.items()])
     return cube.groupingSets([[d] for d in dimensions], *dimensions).agg(
         kpi.alias("kpi"),
-        average("average_speed").alias("avg_speed"),
-        average("occupancy_rate").alias("avg_occupancy"),
-        average("vehicle_count").alias("avg_vehicles_per_sensor"),
-        F.sum("vehicle_count_n").alias("total_vehicles_counted"),
+        *[F.try_divide(F.sum(f"{r}_sum"), F.sum(f"{r}_n")).alias(name) for name, r in _MEANS.items()],
+        *[F.sum(f"{r}_n").alias(name) for name, r in _COUNTS.items()],
         F.sum("events").alias("total_events"),
     )
 
