@@ -6,8 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trafficlake.llm.common import staged
 from trafficlake.llm.exact_dedup import drop_exact_duplicates
+from trafficlake.llm.language_id import fit, keep_identified
 from trafficlake.llm.mixing import mix
 from trafficlake.llm.near_dedup import drop_near_duplicates
+from trafficlake.llm.packing import pack
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or in none of the languages, go."""
+    return keep_identified(docs, fit(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,10 +32,17 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix(docs)
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces and their places in training sequences."""
+    return pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
     ("source_mix", source_mix),
+    ("packing", packing),
 ]
 
 #: Language identification and packing are not SQL.

@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trafficlake.llm.common import table
 from trafficlake.llm.exact_dedup import exact_duplicates
+from trafficlake.llm.language_id import fit, predict
 from trafficlake.llm.mixing import mix_plan
 from trafficlake.llm.near_dedup import near_duplicates
+from trafficlake.llm.packing import pack
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -39,11 +41,22 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, fit(docs))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: _importable(f)
     for f in (
         op1_exact_dedup,
         op4_simhash_near_dedup,
         op6_source_mixing,
+        op7_language_id,
+        op9_best_fit_packing,
     )
 }
