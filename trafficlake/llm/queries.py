@@ -9,6 +9,7 @@ from pyspark.sql.functions import lit
 from trafficlake.llm.chat import digests, format_conversations
 from trafficlake.llm.common import table
 from trafficlake.llm.exact_dedup import exact_duplicates
+from trafficlake.llm.html_text import extract_text
 from trafficlake.llm.language_id import fit, predict
 from trafficlake.llm.mixing import mix_plan
 from trafficlake.llm.near_dedup import near_duplicates
@@ -34,6 +35,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("key")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("key", "kept")
 
@@ -66,6 +71,7 @@ QUERIES = {
     f.__name__: _importable(f)
     for f in (
         op1_exact_dedup,
+        op2_html_extraction,
         op4_simhash_near_dedup,
         op6_source_mixing,
         op7_language_id,
