@@ -8,6 +8,7 @@ from pyspark.sql.functions import lit
 
 from trafficlake.llm.chat import digests, format_conversations
 from trafficlake.llm.common import table
+from trafficlake.llm.doc_fingerprints import fingerprints
 from trafficlake.llm.exact_dedup import exact_duplicates
 from trafficlake.llm.html_text import extract_text
 from trafficlake.llm.language_id import fit, predict
@@ -43,6 +44,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("key", "kept")
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -73,6 +78,7 @@ QUERIES = {
         op1_exact_dedup,
         op2_html_extraction,
         op4_simhash_near_dedup,
+        op5_document_fingerprints,
         op6_source_mixing,
         op7_language_id,
         op9_best_fit_packing,
