@@ -1,6 +1,6 @@
 """Small helpers the operators share."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlake.session import scratch_dir
@@ -30,11 +30,20 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def text_key() -> "F.Column":
+def text_key() -> Column:
     """With doc_id, tells rows apart even where ids repeat or are missing."""
     return F.xxhash64("text")
 
 
+def held_out(parts: int, part: int) -> Column:
+    """crc32 of doc_id as text leaves ``part`` modulo ``parts``; a missing doc_id is held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(True))
+
+
+def hash_order(seed: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+
+
 def without(docs: DataFrame, dropped: DataFrame, kept: DataFrame) -> DataFrame:
     """``docs`` without the rows in ``dropped``; both lists hold (doc_id, key) as ``text_key`` gives it.
 

@@ -11,9 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trafficlake.llm.common import hash_order, held_out, small_side
+
 #: The model is fitted on at most so many documents of each language, the first of them landmarks.
 TRAIN_PER_LANGUAGE = 300
 LANDMARKS_PER_LANGUAGE = 40
@@ -29,15 +31,6 @@ _BATCH = 256
 _LETTERS = 254
 
 
-def held_out(parts: int, part: int) -> Column:
-    """crc32 of doc_id as text leaves ``part`` modulo ``parts``; a missing doc_id is held out."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(True))
-
-
-def hash_order(seed: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-
-
 def bounded_sample(rows: DataFrame, label: str, most: int, seed: str) -> DataFrame:
     """At most ``most`` rows for each value of ``label``, the first by a hash of doc_id.
 
@@ -47,7 +40,7 @@ def bounded_sample(rows: DataFrame, label: str, most: int, seed: str) -> DataFra
     counts = rows.groupBy(label).agg(F.count("*").alias("__n")).withColumnRenamed(label, "__label")
     share = F.least(F.lit(1.0), F.lit(2.0 * most + 50) / F.col("__n"))
     draw = F.conv(F.substring(hash_order(seed), 1, 8), 16, 10).cast("bigint") / F.lit(2.0**32)
-    thinned = rows.join(F.broadcast(counts), F.col(label) == F.col("__label")).where(draw < share)
+    thinned = rows.join(small_side(counts), F.col(label) == F.col("__label")).where(draw < share)
     rank = F.row_number().over(Window.partitionBy(label).orderBy(hash_order(seed), F.xxhash64("text")))
     return thinned.withColumn("__rank", rank).where(F.col("__rank") <= most).select(*rows.columns)
 

@@ -15,6 +15,7 @@ from trafficlake.llm.language_id import fit, predict
 from trafficlake.llm.mixing import mix_plan
 from trafficlake.llm.near_dedup import near_duplicates
 from trafficlake.llm.packing import pack
+from trafficlake.llm.toxicity import score_toxicity
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -58,6 +59,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, fit(docs))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES = {
         op5_document_fingerprints,
         op6_source_mixing,
         op7_language_id,
+        op8_toxicity,
         op9_best_fit_packing,
         op10_chat_formatting,
     )
