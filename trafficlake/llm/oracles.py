@@ -13,6 +13,37 @@ FROM norm
 WINDOW longest AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 """
 
+_OP3 = r"""
+WITH words AS (
+  SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') AS w FROM documents)),
+grams AS (
+  SELECT doc_id, i, w AS g1,
+    CASE WHEN i > 1 THEN concat_ws(' ', lag(w) OVER o, w) END AS g2,
+    CASE WHEN i > 2 THEN concat_ws(' ', lag(w, 2) OVER o, lag(w) OVER o, w) END AS g3
+  FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+lefts AS (
+  SELECT doc_id, i,
+    count(*) OVER () - count(*) OVER (PARTITION BY doc_id) AS n,
+    count(*) OVER (PARTITION BY g1) - count(*) OVER (PARTITION BY g1, doc_id) AS c1,
+    CASE WHEN g2 IS NOT NULL THEN count(*) OVER (PARTITION BY g2) - count(*) OVER (PARTITION BY g2, doc_id) ELSE 0 END AS c2,
+    CASE WHEN g3 IS NOT NULL THEN count(*) OVER (PARTITION BY g3) - count(*) OVER (PARTITION BY g3, doc_id) ELSE 0 END AS c3
+  FROM grams),
+contexts AS (
+  SELECT *, lag(c1) OVER o AS before1, lag(c2) OVER o AS before2, least(i, 3) AS longest
+  FROM lefts WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+scored AS (
+  SELECT doc_id, count(*) AS n_words, sum(CASE
+    WHEN c3 > 0 THEN ln(c3 / before2)
+    WHEN c2 > 0 THEN ln(c2 / before1) + (longest - 2) * ln(0.4)
+    ELSE ln((CASE WHEN c1 > 0 THEN c1 ELSE 0.5 END) / greatest(n, 1)) + (longest - 1) * ln(0.4) END) AS score
+  FROM contexts GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(score, 0), 3) AS score,
+  round(score / n_words, 6) AS mean_score
+FROM documents d LEFT JOIN scored s ON d.doc_id IS NOT DISTINCT FROM s.doc_id
+"""
+
 _OP6 = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
@@ -65,4 +96,4 @@ FROM placed p JOIN own ON p.conv_id IS NOT DISTINCT FROM own.conv_id
 GROUP BY p.conv_id
 """
 
-ORACLES = {"op1_exact_dedup": _OP1, "op6_source_mixing": _OP6, "op10_chat_formatting": _OP10}
+ORACLES = {"op1_exact_dedup": _OP1, "op3_lm_scoring": _OP3, "op6_source_mixing": _OP6, "op10_chat_formatting": _OP10}

@@ -5,6 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.functions import lit
+from pyspark.sql.functions import round as round_
 
 from trafficlake.llm.chat import digests, format_conversations
 from trafficlake.llm.common import table
@@ -12,6 +13,7 @@ from trafficlake.llm.doc_fingerprints import fingerprints
 from trafficlake.llm.exact_dedup import exact_duplicates
 from trafficlake.llm.html_text import extract_text
 from trafficlake.llm.language_id import fit, predict
+from trafficlake.llm.lm_scoring import score_documents
 from trafficlake.llm.mixing import mix_plan
 from trafficlake.llm.near_dedup import near_duplicates
 from trafficlake.llm.packing import pack
@@ -41,6 +43,12 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_documents(table(spark, sf_dir, "documents"))
+    # Rounded, as sums of logarithms differ in the last digits with the order of the terms.
+    return scored.select("doc_id", "n_words", round_("score", 3).alias("score"), round_("mean_score", 6).alias("mean_score"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("key", "kept")
 
@@ -82,6 +90,7 @@ QUERIES = {
     for f in (
         op1_exact_dedup,
         op2_html_extraction,
+        op3_lm_scoring,
         op4_simhash_near_dedup,
         op5_document_fingerprints,
         op6_source_mixing,
