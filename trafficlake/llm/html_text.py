@@ -197,12 +197,13 @@ def main_text(page: str | None, reach: int = REACH) -> str:
     threshold = 0 if marked else min(THRESHOLD_CHARS, max(sums, default=0) * THRESHOLD_SHARE)
     core = [weight > 0 and total > threshold for weight, total in zip(weights, sums)]
     inside = list(core)
-    # Surge and dive mark where the sums cross the threshold; short lines next to that are still text.
+    # Surge and dive mark where the sums cross the threshold. From there short lines are still text, past
+    # furniture in between too, until lines of nothing but links come.
     for order in (range(len(core)), reversed(range(len(core)))):
         near = False
         for i in order:
-            near = core[i] or (near and weights[i] > 0) or (near and weights[i] == 0 and sums[i] > threshold)
-            inside[i] = inside[i] or near
+            near = core[i] or (near and (weights[i] != 0 or sums[i] > threshold))
+            inside[i] = inside[i] or (near and weights[i] >= 0)
     kept = [text for text, keep in zip(texts, inside) if keep]
     if marked and not kept:  # an article of links only
         kept = [text for text, weight in zip(texts, weights) if weight >= 0]
