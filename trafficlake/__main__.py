@@ -6,8 +6,8 @@ from pyspark.sql import SparkSession
 
 from trafficlake.operators.upkeep import validate_outputs
 from trafficlake.plans.batch import run_batch
-from trafficlake.schema import BATCH_MAX_DELAY, BATCH_MIN_MESSAGES, TOPIC_NAME
-from trafficlake.session import settings_for, use_utc
+from trafficlake.schema import BATCH_MAX_DELAY, BATCH_MIN_MESSAGES, SAMPLE_ROWS, TOPIC_NAME
+from trafficlake.session import use_utc
 from trafficlake.sources.topic import read_topic, topic_batching
 from trafficlake.streaming.ingest import ingest_stream, quarantine_stream
 
@@ -21,7 +21,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     batch.add_argument("analytics", help="folder of the KPI tables")
     batch.add_argument("sample", help="folder of the CSV sample")
     batch.add_argument("--clean", help="folder of the clean events; default: below spark.checkpoint.dir")
-    batch.add_argument("--input-bytes", type=int, default=0, help="size of the raw lake, to size the shuffle")
+    batch.add_argument("--start", help="first day, yyyy-MM-dd; raw is then the root of the lake")
+    batch.add_argument("--end", help="last day, yyyy-MM-dd")
+    batch.add_argument("--sample-rows", type=int, default=SAMPLE_ROWS)
+    batch.add_argument("--input-bytes", type=int, help="size of the input; default: as the file system tells")
 
     ingest = commands.add_parser("ingest", help="topic -> raw lake, until stopped")
     ingest.add_argument("servers")
@@ -29,9 +32,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     ingest.add_argument("checkpoint")
     ingest.add_argument("--topic", default=TOPIC_NAME)
     ingest.add_argument("--min-rows", type=int, default=BATCH_MIN_MESSAGES)
-    ingest.add_argument("--max-rows", type=int, help="upper limit of one micro-batch")
+    ingest.add_argument("--max-rows", type=int, default=1_000_000, help="upper limit of one micro-batch")
     ingest.add_argument("--max-delay", default=BATCH_MAX_DELAY)
-    ingest.add_argument("--writers", type=int, help="writing tasks per micro-batch")
+    ingest.add_argument("--writers", type=int, default=16, help="writing tasks per micro-batch")
     ingest.add_argument("--quarantine", help="folder for messages that cannot be stored")
 
     validate = commands.add_parser("validate", help="Parquet files per KPI table")
@@ -40,7 +43,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 
 def _batch(spark: SparkSession, args: argparse.Namespace) -> None:
-    run_batch(spark, args.raw, args.analytics, args.sample, args.clean).quality.show()
+    days = {"start": args.start, "end": args.end}
+    sizes = {"sample_rows": args.sample_rows, "input_bytes": args.input_bytes}
+    run_batch(spark, args.raw, args.analytics, args.sample, args.clean, **days, **sizes).quality.show()
 
 
 def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -58,10 +63,7 @@ def _validate(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
-    builder = SparkSession.builder.appName(f"trafficlake-{args.command}")
-    if getattr(args, "input_bytes", 0):
-        builder = builder.config(map=settings_for(args.input_bytes))
-    spark = use_utc(builder.getOrCreate())
+    spark = use_utc(SparkSession.builder.appName(f"trafficlake-{args.command}").getOrCreate())
     {"batch": _batch, "ingest": _ingest, "validate": _validate}[args.command](spark, args)
 
 

@@ -1,23 +1,24 @@
 """The batch job: raw events -> clean events -> KPI tables and a sample."""
 
+from itertools import combinations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trafficlake.operators.enrich import enrich
 from trafficlake.operators.kpis import kpi_all, pick_kpi
 from trafficlake.operators.quality import clean, dedup, survivors, tally, tally_report
 from trafficlake.operators.serving import sample_events
-from trafficlake.schema import KPI_NAMES, KPI_PARTITIONING
-from trafficlake.session import scratch_dir, use_utc
+from trafficlake.paths import overlap, remove, total_bytes
+from trafficlake.schema import KPI_NAMES, KPI_PARTITIONING, SAMPLE_ROWS
+from trafficlake.session import scratch_dir, session_settings, settings_for
 from trafficlake.sinks.kpi import write_kpi, write_sample
-from trafficlake.sources.raw import read_raw
+from trafficlake.sources.raw import read_raw_checked, read_raw_days
 
 
 class BatchResult(NamedTuple):
     quality: DataFrame
-    """One row: rows read, in range, unique."""
+    """One row: rows read, unreadable, in range, unique."""
     clean_path: str | None
     """Clean, unique, enriched events as Parquet (see ``clean_events``), if kept."""
 
@@ -42,36 +43,53 @@ def write_kpis(events: DataFrame, analytics: str, staging: str) -> None:
         write_kpi(pick_kpi(aggregated, name), analytics, name, KPI_PARTITIONING.get(name))
 
 
-def _require_apart(**paths: str) -> None:
+def _require_apart(spark: SparkSession, **paths: str) -> None:
     """Outputs replace whole folders, so none may contain or lie in another folder."""
-    folders = {name: path.split("*")[0].rstrip("/") + "/" for name, path in paths.items()}
-    for a, first in folders.items():
-        for b, second in folders.items():
-            if a != b and first.startswith(second):
-                raise ValueError(f"{a} ({paths[a]}) and {b} ({paths[b]}) overlap")
+    for (a, first), (b, second) in combinations(paths.items(), 2):
+        if overlap(spark, first, second):
+            raise ValueError(f"{a} ({first}) and {b} ({second}) overlap")
 
 
 def run_batch(
-    spark: SparkSession, raw: str, analytics: str, sample: str, clean_path: str | None = None
+    spark: SparkSession,
+    raw: str,
+    analytics: str,
+    sample: str,
+    clean_path: str | None = None,
+    start: str | None = None,
+    end: str | None = None,
+    sample_rows: int = SAMPLE_ROWS,
+    input_bytes: int | None = None,
 ) -> BatchResult:
     """Read the raw lake once, shuffle it once, write the KPI tables and the CSV sample.
 
+    With ``start`` or ``end`` (``yyyy-MM-dd``, inclusive) ``raw`` is the root of a lake and only files of
+    those days are listed and read; else it is a folder or pattern, read whole.
+
     The clean events are written as a Parquet table instead of being cached: an executor that
     disappears then costs no second parse of the raw JSON, and KPIs and sample read only the
-    columns they need. Name a ``clean_path`` to keep the table, which each run replaces.
-    Otherwise it lies below the session's checkpoint folder and is emptied at the end.
+    columns they need. Name a ``clean_path`` to keep the table, which each run replaces. Everything else
+    that is staged lies below the session's checkpoint folder and is removed at the end, also of a failed
+    run. Shuffle and scan are sized by the input (``input_bytes``, by default as the file system tells)
+    for the time of the job.
     """
-    use_utc(spark)
     scratch = scratch_dir(spark, "batch")
     staged = clean_path or f"{scratch}/clean"
-    _require_apart(raw=raw, analytics=analytics, sample=sample, clean_path=staged)
-
-    # Rows of keys without any reading in range have NULL readings; only the counts use them.
-    enrich(tally(read_raw(spark, raw))).write.mode("overwrite").parquet(staged)
-    tallied = spark.read.parquet(staged)
-    tally_report(tallied).write.parquet(f"{scratch}/quality")
-    write_kpis(survivors(tallied), analytics, f"{scratch}/kpi_all")
-    write_sample(sample_events(survivors(tallied)), sample)
-    if clean_path is None:
-        spark.createDataFrame([], tallied.schema).write.mode("overwrite").parquet(staged)
-    return BatchResult(spark.read.parquet(f"{scratch}/quality"), clean_path)
+    _require_apart(spark, raw=raw, analytics=analytics, sample=sample, clean_path=staged)
+    size = total_bytes(spark, raw) if input_bytes is None else input_bytes
+    try:
+        with session_settings(spark, settings_for(size)):
+            if start or end:
+                events = read_raw_days(spark, raw, start, end, checked=True)
+            else:
+                events = read_raw_checked(spark, raw)
+            # Rows of keys without any reading in range have NULL readings; only the counts use them.
+            enrich(tally(events)).write.mode("overwrite").parquet(staged)
+            tallied = spark.read.parquet(staged)
+            quality = tally_report(tallied).collect()
+            write_kpis(survivors(tallied), analytics, f"{scratch}/kpi_all")
+            write_sample(sample_events(survivors(tallied), sample_rows), sample)
+    finally:
+        remove(spark, scratch)
+    counts = "rows_read bigint, rows_unreadable bigint, rows_in_range bigint, rows_unique bigint"
+    return BatchResult(spark.createDataFrame(quality, counts), clean_path)

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,7 +20,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     Tables staged here must be readable from every executor, so a machine-local folder is only
     used in local mode with the setting absent.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _checkpoint_dir(spark)
     if shared:
         return f"{shared.rstrip('/')}/trafficlake/{label}-{uuid.uuid4().hex}"
     if not spark.conf.get("spark.master", "").startswith("local"):
@@ -26,6 +28,29 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{tempfile.mkdtemp(prefix='run-', dir='/tmp')}/{label}"
 
 
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    """The folder given to ``SparkContext.setCheckpointDir``, without the level Spark adds below it."""
+    context = getattr(spark, "sparkContext", None)
+    found = context.getCheckpointDir() if context else None
+    return found.rstrip("/").rpartition("/")[0] if found else None
+
+
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings for the time of a job; afterwards each is as before. The number of shuffle partitions is only
+    ever raised."""
+    key = "spark.sql.shuffle.partitions"
+    settings = settings | {key: str(max(int(spark.conf.get(key)), int(settings.get(key, 0))))}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 _MIB = 1024**2
 _GIB = 1024**3
 
@@ -44,6 +69,6 @@ def settings_for(input_bytes: int) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * _MIB),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // (4 * _GIB)))),
+        "spark.sql.shuffle.partitions": str(-(-input_bytes // (4 * _GIB))),
         "spark.sql.files.maxPartitionBytes": str(scan_bytes),
     }
