@@ -26,7 +26,9 @@ def spark():
 @pytest.fixture
 def event(spark):
     """Builds an event DataFrame from dicts; fields left out get an ordinary value."""
-    from trafficlake.schema import EVENT_SCHEMA
+    from decimal import Decimal
+
+    from trafficlake.schema import EVENT_SCHEMA, READINGS
 
     ordinary = {
         "sensor_id": 1,
@@ -41,6 +43,7 @@ def event(spark):
 
     def build(*rows, **repeated):
         data = [{**ordinary, **repeated, **row} for row in rows]
+        data = [r | {c: Decimal(str(r[c])) for c in READINGS if r[c] is not None} for r in data]
         return spark.createDataFrame([tuple(r[f] for f in EVENT_SCHEMA.names) for r in data], EVENT_SCHEMA)
 
     return build

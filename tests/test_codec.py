@@ -4,7 +4,7 @@ import random
 import pytest
 
 from trafficlake.fixtures import traffic_from_events
-from trafficlake.schema import EVENT_SCHEMA
+from trafficlake.schema import EVENT_SCHEMA, READINGS
 from trafficlake.sources.codec import classify_messages, decode_events, encode_events, quarantine, storable_events
 
 VALID = '{"sensor_id": 3, "timestamp": "2026-01-08T10:11:12+00:00", "zone": "Périphérie", "vehicle_count": 12}'
@@ -29,6 +29,16 @@ MESSAGES = {
     '{"zone":"A"}': "missing timestamp",
     '{"zone":"A","timestamp":null}': "missing timestamp",
     '{"zone":"A","timestamp":"soon"}': "bad timestamp",
+    '{"zone":"A","timestamp":"10:11:12"}': "bad timestamp",
+    '{"zone":"A","timestamp":"T10:11"}': "bad timestamp",
+    '{"zone":"A","timestamp":"2024"}': "bad timestamp",
+    '{"zone":"A","timestamp":"2024-01"}': "bad timestamp",
+    '{"zone":"A","timestamp":"2024-01-01"}': None,
+    '{"zone":"A","timestamp":"2026-01-08T10:11:12+00:00","average_speed":40.5,"occupancy_rate":50.0}': None,
+    VALID + '],"x":[{}': "undecodable",
+    VALID + '],"complete":true}   ': "undecodable",
+    VALID + '],"messages":[' + VALID: "undecodable",
+    VALID + "," + VALID + "," + VALID: "undecodable",
     '{"timestamp":"2026-01-08T10:11:12+00:00"}': "missing zone",
 }
 
@@ -49,7 +59,7 @@ def test_every_message_is_stored_or_kept_aside(messages):
 
 def test_decode_keeps_what_can_be_read(messages):
     rows = decode_events(messages).collect()
-    assert len(rows) == 6
+    assert len(rows) == 12
     good = [r for r in rows if r.sensor_id == 3]
     assert [(r.zone, r.vehicle_count, r.event) for r in good] == [("Périphérie", 12, None)]
 
@@ -85,7 +95,8 @@ def test_damaged_messages_against_a_plain_parser(spark):
         except ValueError:
             return False
         counts = [event.get(f.name) for f in EVENT_SCHEMA if f.dataType.simpleString() == "bigint"]
-        return all(n is None or type(n) is int for n in counts)
+        readings = [event.get(name) for name in READINGS]
+        return all(n is None or type(n) is int for n in counts) and all(n is None or type(n) in (int, float) for n in readings)
 
     df = spark.createDataFrame([(t,) for t in texts], "value string")
     decoded = {r.value for r in classify_messages(df).collect() if r.reason != "undecodable"}

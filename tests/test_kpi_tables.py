@@ -12,6 +12,7 @@ from trafficlake.operators import kpis, serving
 from trafficlake.operators.enrich import enrich
 from trafficlake.operators.upkeep import validate_outputs
 from trafficlake.plans import batch
+from trafficlake.paths import overlap
 from trafficlake.plans.batch import clean_events, run_batch, traffic_clean
 from trafficlake.schema import KPI_NAMES, METRICS, SAMPLE_COLUMNS
 from trafficlake.session import scratch_dir, settings_for
@@ -41,17 +42,17 @@ def _rows(df):
 
 def test_job_counts_and_clean_table(spark, job, clean):
     _, result = job
-    assert tuple(result.quality.first()) == (1000, 857, 855)
+    assert tuple(result.quality.first()) == (1000, 0, 857, 855)
     stored = clean_events(spark, result.clean_path)
     assert _rows(stored.select(*clean.columns)) == _rows(clean)
 
 
-def test_staged_table_is_emptied_unless_kept(spark, job, tmp_path, monkeypatch):
+def test_scratch_is_removed(spark, job, tmp_path, monkeypatch):
     monkeypatch.setattr(batch, "scratch_dir", lambda spark, label: f"{tmp_path}/scratch")
     result = run_batch(spark, f"{job[0]}/raw", f"{tmp_path}/analytics", f"{tmp_path}/sample")
     assert result.clean_path is None
-    assert tuple(result.quality.first()) == (1000, 857, 855)
-    assert spark.read.parquet(f"{tmp_path}/scratch/clean").count() == 0
+    assert not (tmp_path / "scratch").exists()
+    assert tuple(result.quality.first()) == (1000, 0, 857, 855)
 
 
 @pytest.mark.parametrize("name", KPI_NAMES)
@@ -67,10 +68,89 @@ def test_job_sample(spark, job, clean):
     assert sample.count() == 855
 
 
-def test_job_refuses_overlapping_folders(spark):
-    for raw, analytics, sample in [("/d/raw/*/*", "/d/raw/kpi", "/d/s"), ("/d/raw", "/d", "/s"), ("/d", "/a", "/a/s")]:
-        with pytest.raises(ValueError, match="overlap"):
-            run_batch(spark, raw, analytics, sample)
+@pytest.mark.parametrize(
+    "raw, analytics, sample",
+    [
+        ("/d/raw/*/*", "/d/raw/kpi", "/d/s"),
+        ("/d/raw", "/d", "/s"),
+        ("/d", "/a", "/a/s"),
+        ("file:{base}/raw", "{base}/a", "{base}/raw"),
+        ("{base}/raw", "{base}/a", "file://{base}/raw/x"),
+        ("{base}/ra?", "{base}/a", "{base}/raw"),
+        ("{base}/ra*", "{base}/a", "{base}/rawer"),
+        ("{base}/ra[vw]", "{base}/raw", "{base}/s"),
+        ("{base}/{{raw,x}}", "{base}/a", "{base}/raw"),
+        ("{base}/{{raw/year=2024,x}}", "{base}/a", "{base}/raw/year=2024"),
+        ("{base}//raw/", "{base}/a", "{base}/raw"),
+        ("{base}/raw", "{base}/a", "{base}/./raw"),
+        ("{base}/raw", "{base}/a/../raw", "{base}/s"),
+        ("{base}/raw/*/*/*/*/*.json", "{base}/a", "{base}/raw"),
+    ],
+)
+def test_job_refuses_overlapping_folders(spark, job, raw, analytics, sample):
+    raw, analytics, sample = (x.format(base=job[0]) for x in (raw, analytics, sample))
+    before = _tree(f"{job[0]}/raw")
+    with pytest.raises(ValueError, match="overlap"):
+        run_batch(spark, raw, analytics, sample)
+    assert _tree(f"{job[0]}/raw") == before
+
+
+def test_job_compares_relative_paths(spark, job, tmp_path, monkeypatch):
+    system = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+    name = os.path.relpath(f"{job[0]}/raw", system.getWorkingDirectory().toUri().getPath())
+    with pytest.raises(ValueError, match="overlap"):
+        run_batch(spark, f"{job[0]}/raw", str(tmp_path / "a"), name)
+
+
+def test_neighbours_do_not_overlap(spark, job):
+    assert not overlap(spark, f"{job[0]}/raw", f"{job[0]}/raw2")
+    assert not overlap(spark, f"{job[0]}/raw/*/x", f"{job[0]}/analytics")
+
+
+def _tree(folder):
+    return sorted(os.path.join(root, f) for root, _, files in os.walk(folder) for f in files)
+
+
+def test_failed_job_leaves_no_scratch(spark, job, tmp_path, monkeypatch):
+    monkeypatch.setattr(batch, "scratch_dir", lambda spark, label: f"{tmp_path}/scratch")
+    monkeypatch.setattr(batch, "write_sample", lambda df, path: 1 / 0)
+    settings = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with pytest.raises(ZeroDivisionError):
+        run_batch(spark, f"{job[0]}/raw", f"{tmp_path}/analytics", f"{tmp_path}/sample")
+    assert not (tmp_path / "scratch").exists()
+    assert settings == (spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+
+def test_results_do_not_depend_on_the_sizing(spark, job, tmp_path):
+    run_batch(spark, f"{job[0]}/raw", f"{tmp_path}/a", f"{tmp_path}/s", input_bytes=200 * 1024**3, sample_rows=7)
+    for name in KPI_NAMES:
+        assert _rows(read_kpi(spark, f"{tmp_path}/a", name)) == _rows(read_kpi(spark, f"{job[0]}/analytics", name))
+    assert spark.read.option("header", True).csv(f"{tmp_path}/s").count() == 7
+
+
+def test_job_over_chosen_days(spark, job, tmp_path):
+    days = run_batch(spark, f"{job[0]}/raw", f"{tmp_path}/a", f"{tmp_path}/s", start="2024-01-10", end="2024-01-12")
+    raw = traffic_from_events(spark, SMALL).where("substr(timestamp, 1, 10) BETWEEN '2024-01-10' AND '2024-01-12'")
+    assert days.quality.first().rows_read == raw.count() > 0
+    assert _rows(read_kpi(spark, f"{tmp_path}/a", "kpi_zone")) == _rows(
+        kpis.kpi_zone(traffic_clean(raw)).select(*read_kpi(spark, f"{tmp_path}/a", "kpi_zone").columns)
+    )
+
+
+def test_kpi_folder_without_files_is_an_error(spark, tmp_path):
+    (tmp_path / "kpi_zone").mkdir()
+    with pytest.raises(FileNotFoundError):
+        read_kpi(spark, str(tmp_path), "kpi_zone")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_kpi(spark, str(tmp_path), "kpi_hourly")
+
+
+def test_each_metric_is_planned_once(spark, job, plan):
+    text = plan(serving.query_metrics(spark, f"{job[0]}/analytics", ["traffic.zones"] * 20))
+    assert text.count("Scan parquet") <= 2
+    top = plan(serving.query_metrics(spark, f"{job[0]}/analytics", ["traffic.congestion"], top=2))
+    assert "WindowGroupLimit" in top or "TakeOrderedAndProject" in top
+    assert serving.query_metrics(spark, f"{job[0]}/analytics", ["traffic.congestion"], top=2).count() == 2
 
 
 def test_overwrite_replaces_everything(spark, event, tmp_path):
@@ -157,7 +237,7 @@ def test_datapoints(spark, job):
 
 
 def test_catalogue(spark, job):
-    names = serving.metric_catalogue(spark, f"{job[0]}/analytics").collect()
+    names = serving.metric_catalogue(spark).collect()
     assert sorted(r.target for r in names) == sorted(METRICS)
 
 
@@ -194,7 +274,7 @@ def test_scratch_follows_the_session():
 
 def test_settings_grow_with_input():
     small, large = settings_for(10**9), settings_for(100 * 10**12)
-    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert small["spark.sql.shuffle.partitions"] == "1"
     assert 20_000 < int(large["spark.sql.shuffle.partitions"]) < 30_000
     assert 100 * 10**12 / int(large["spark.sql.files.maxPartitionBytes"]) < 101_000
 

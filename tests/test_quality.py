@@ -51,15 +51,15 @@ def test_tally_agrees_with_clean_and_dedup(event):
     )
     tallied = tally(df)
     assert sorted(survivors(tallied).collect()) == sorted(dedup(clean(df)).collect())
-    assert tuple(tally_report(tallied).first()) == (6, 3, 2)
-    assert tuple(quality_report(df).first()) == (6, 3, 2)
+    assert tuple(tally_report(tallied).first()) == (6, 0, 3, 2)
+    assert tuple(quality_report(df).first()) == (6, 0, 3, 2)
 
 
 def test_report_of_nothing(event):
-    assert tuple(quality_report(event({}).limit(0)).first()) == (0, 0, 0)
+    assert tuple(quality_report(event({}).limit(0)).first()) == (0, 0, 0, 0)
 
 
-@pytest.mark.parametrize("sf, counts", [("0.001", (1000, 857, 855)), ("0.01", (10000, 8494, 8458)), ("0.1", (100000, 85006, 80982))])
+@pytest.mark.parametrize("sf, counts", [("0.001", (1000, 0, 857, 855)), ("0.01", (10000, 0, 8494, 8458)), ("0.1", (100000, 0, 85006, 80982))])
 def test_stage_counts(spark, sf, counts):
     assert tuple(quality_report(traffic_from_events(spark, f"/root/testdata/sf{sf}")).first()) == counts
 

@@ -4,9 +4,10 @@ import os
 import pytest
 
 from trafficlake.fixtures import traffic_from_events
-from trafficlake.operators.upkeep import archive, retention_split
+from trafficlake.operators.quality import quality_report
+from trafficlake.operators.upkeep import archive, expired_lines, retention_split
 from trafficlake.sinks.raw import write_raw
-from trafficlake.sources.raw import read_lake, read_raw, read_raw_days
+from trafficlake.sources.raw import read_lake, read_raw, read_raw_checked, read_raw_days
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -28,13 +29,12 @@ def test_scan_returns_what_was_written(spark, lake):
     assert _rows(read_raw(spark, f"{lake}/*/*/*/*/*.json")) == expected
 
 
-def test_days_are_pruned(spark, lake, plan):
+def test_only_the_days_are_listed(spark, lake):
     df = read_raw_days(spark, lake, "2024-01-03", "2024-01-05")
     assert {(r.year, r.month, r.day) for r in df.collect()} == {("2024", "01", d) for d in ("03", "04", "05")}
-    text = plan(df)
-    partition_filters = text[text.index("PartitionFilters") :].split("\n")[0]
-    assert "concat_ws" in partition_filters
-    assert "concat_ws" not in text[text.index("ReadSchema") :]
+    assert {file.split("/day=")[1][:2] for file in df.inputFiles()} == {"03", "04", "05"}
+    assert read_raw_days(spark, lake, "1999-01-01", "1999-12-31").count() == 0
+    assert _rows(read_raw_days(spark, lake)) == _rows(read_lake(spark, lake))
 
 
 def test_zone_keeps_its_spelling(spark, event, tmp_path):
@@ -107,17 +107,49 @@ def test_unreadable_dates_are_kept(spark, event, tmp_path):
     assert expired.count() == 1
 
 
-def test_archive_copies_and_refuses_to_replace(spark, lake, tmp_path):
+def test_archive_copies_bytes_and_refuses_to_replace(spark, lake, tmp_path):
     _, expired = retention_split(read_lake(spark, lake), AS_OF)
     before = read_raw(spark, lake).count()
-    path = archive(expired, str(tmp_path), AS_OF)
+    path = archive(spark, lake, str(tmp_path), AS_OF)
     assert path == f"{tmp_path}/20240131"
     assert _rows(read_lake(spark, path)) == _rows(expired)
     assert read_raw(spark, lake).count() == before
     with pytest.raises(Exception, match="already exists"):
-        archive(expired, str(tmp_path), AS_OF)
+        archive(spark, lake, str(tmp_path), AS_OF)
+    with pytest.raises(ValueError, match="overlap"):
+        archive(spark, lake, lake, AS_OF)
 
 
-def test_archive_does_not_shuffle(spark, lake, plan):
-    _, expired = retention_split(read_lake(spark, lake), AS_OF)
-    assert "Exchange" not in plan(expired)
+def test_archive_keeps_what_it_does_not_understand(spark, tmp_path):
+    folder = tmp_path / "raw" / "year=2020" / "month=01" / "day=02" / "zone_key=A"
+    folder.mkdir(parents=True)
+    lines = ['{"sensor_id":1,"lane":3,"average_speed":40.5}', "{broken", '{"x":"\u00e9"}', "\u00e9"]
+    (folder / "part-0.json").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    path = archive(spark, str(tmp_path / "raw"), str(tmp_path / "old"), AS_OF)
+    files = [f for f in (tmp_path / "old").rglob("part-*") if f.is_file()]
+    assert sorted(line for f in files for line in f.read_text(encoding="utf-8").splitlines()) == sorted(lines)
+    assert all("year=2020/month=01/day=02/zone_key=A" in str(f) for f in files) and path.endswith("20240131")
+
+
+def test_archive_lists_expired_days_only_and_does_not_shuffle(spark, lake, plan):
+    lines = expired_lines(spark, lake, AS_OF)
+    assert max(file.split("/day=")[1][:2] for file in lines.inputFiles()) == "23"
+    assert "Exchange" not in plan(lines)
+    assert expired_lines(spark, lake, datetime.date(1999, 1, 1)).count() == 0
+
+
+def test_decimal_readings_survive(spark, tmp_path):
+    lines = [
+        '{"sensor_id":1,"timestamp":"2026-01-08T10:00:00+00:00","zone":"A","average_speed":40.5,"occupancy_rate":50.0}',
+        '{"sensor_id":2,"timestamp":"2026-01-08T10:00:00+00:00","zone":"A","average_speed":40,"occupancy_rate":10}',
+        '{"sensor_id":3,"timestamp":"2026-01-08T10:00:00+00:00","zone":"A","vehicle_count":"x","average_speed":40,"occupancy_rate":10}',
+        "{broken",
+    ]
+    (tmp_path / "a.json").write_text("\n".join(lines) + "\n")
+    rows = {r.sensor_id: (r.average_speed, r.unreadable) for r in read_raw_checked(spark, str(tmp_path)).collect()}
+    assert (float(rows[1][0]), rows[1][1]) == (40.5, False) and rows[3][1] and rows[None][1]
+    assert tuple(quality_report(read_raw_checked(spark, str(tmp_path))).first()) == (4, 2, 2, 2)
+    written = tmp_path / "written"
+    write_raw(read_raw(spark, str(tmp_path / "a.json")).where("sensor_id < 3"), str(written))
+    text = "".join(f.read_text() for f in written.rglob("*.json"))
+    assert '"average_speed":40.5' in text and '"average_speed":40.0' in text

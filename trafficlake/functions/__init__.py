@@ -3,10 +3,11 @@
 from trafficlake.functions.congestion import congestion_level
 from trafficlake.functions.profile import incident_flag, profile_bounds, within_profile
 from trafficlake.functions.rounding import round_half_even
-from trafficlake.functions.timestamps import parsed_timestamp, utc_day, utc_hour
+from trafficlake.functions.timestamps import dated_timestamp, parsed_timestamp, utc_day, utc_hour
 
 __all__ = [
     "congestion_level",
+    "dated_timestamp",
     "incident_flag",
     "parsed_timestamp",
     "profile_bounds",

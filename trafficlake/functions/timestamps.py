@@ -9,6 +9,12 @@ def parsed_timestamp(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
+def dated_timestamp(text: Column) -> Column:
+    """``parsed_timestamp`` of texts that begin with a full date. Spark reads a time alone as one of today,
+    and a year or a month as its first day; here they are NULL."""
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), parsed_timestamp(text))
+
+
 def utc_day(instant: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
 

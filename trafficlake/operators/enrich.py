@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from trafficlake.functions import (
     congestion_level,
+    dated_timestamp,
     incident_flag,
     parsed_timestamp,
     profile_bounds,
@@ -33,9 +34,9 @@ def enrich(df: DataFrame) -> DataFrame:
 def with_partition_keys(df: DataFrame) -> DataFrame:
     """Directory keys of the raw lake: UTC date parts as text and the zone without spaces.
 
-    The zone itself stays in the payload with its spelling.
+    The zone itself stays in the payload with its spelling. A timestamp without a full date gives NULL keys.
     """
-    day = utc_day(parsed_timestamp(F.col("timestamp"))).cast("string")
+    day = utc_day(dated_timestamp(F.col("timestamp"))).cast("string")
     return df.withColumns(
         {
             "year": F.substring(day, 1, 4),

@@ -1,14 +1,15 @@
 """KPI tables from clean, enriched events.
 
-All measures are sums and counts of integers until the last division, so they can be
-pre-aggregated before any shuffle and rolled up again without changing the result.
+All measures are exact sums (of decimals) and counts until the last division, so they can be
+pre-aggregated before any shuffle and rolled up again without changing the result. Rows come in no
+order; the views sort.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficlake.operators.enrich import with_hour
-from trafficlake.schema import KPI_SCHEMAS
+from trafficlake.schema import KPI_SCHEMAS, READINGS
 
 _DIMENSIONS = {
     "kpi_road_type": "road_type",
@@ -16,50 +17,53 @@ _DIMENSIONS = {
     "kpi_hourly": "hour",
     "kpi_congestion": "congestion_status",
 }
-# Measures by name: the reading averaged, the reading counted where present. Others count events.
-_MEANS = {
-    "avg_speed": "average_speed",
-    "avg_occupancy": "occupancy_rate",
-    "avg_vehicles_per_sensor": "vehicle_count",
-}
-_COUNTS = {"total_vehicles_counted": "vehicle_count"}
 
 
-def _measure(name: str) -> Column:
-    if name in _MEANS:
-        return F.avg(_MEANS[name]).alias(name)
-    return F.count(_COUNTS.get(name, F.lit(1))).alias(name)
+def _mean(reading: str) -> Column:
+    """The exact sum over the count of present readings, as a double."""
+    return F.try_divide(F.sum(reading).cast("double"), F.count(reading))
+
+
+# Each measure of the KPI tables by name.
+_MEASURES = {
+    "avg_speed": lambda: _mean("average_speed"),
+    "avg_occupancy": lambda: _mean("occupancy_rate"),
+    "avg_vehicles_per_sensor": lambda: _mean("vehicle_count"),
+    "total_vehicles_counted": lambda: F.count("vehicle_count"),
+    "total_events": lambda: F.count(F.lit(1)),
+    "count": lambda: F.count(F.lit(1)),
+}
 
 
-def _kpi(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
+def _kpi(df: DataFrame, name: str) -> DataFrame:
     dimension = _DIMENSIONS[name]
-    measures = [_measure(c) for c in KPI_SCHEMAS[name].names if c != dimension]
-    return df.groupBy(dimension).agg(*measures).orderBy(*order)
+    measures = [_MEASURES[c]().alias(c) for c in KPI_SCHEMAS[name].names if c != dimension]
+    return df.groupBy(dimension).agg(*measures)
 
 
 def kpi_road_type(df: DataFrame) -> DataFrame:
-    """Mean speed and events by road type, fastest first."""
-    return _kpi(df, "kpi_road_type", F.desc("avg_speed"), "road_type")
+    """Mean speed and events by road type."""
+    return _kpi(df, "kpi_road_type")
 
 
 def kpi_zone(df: DataFrame) -> DataFrame:
-    """Mean occupancy and speed and events by zone, most occupied first."""
-    return _kpi(df, "kpi_zone", F.desc("avg_occupancy"), "zone")
+    """Mean occupancy and speed and events by zone."""
+    return _kpi(df, "kpi_zone")
 
 
 def kpi_hourly(df: DataFrame) -> DataFrame:
     """``total_vehicles_counted`` is the number of readings with a vehicle count, not their sum."""
-    return _kpi(with_hour(df), "kpi_hourly", "hour")
+    return _kpi(with_hour(df), "kpi_hourly")
 
 
 def kpi_hourly_volume(df: DataFrame) -> DataFrame:
     """Vehicles per hour of day, summed."""
-    return with_hour(df).groupBy("hour").agg(F.sum("vehicle_count").alias("total_vehicles")).orderBy("hour")
+    return with_hour(df).groupBy("hour").agg(F.sum("vehicle_count").cast("double").alias("total_vehicles"))
 
 
 def kpi_congestion(df: DataFrame) -> DataFrame:
-    """Events by congestion level, most frequent first."""
-    return _kpi(df, "kpi_congestion", F.desc("count"), "congestion_status")
+    """Events by congestion level."""
+    return _kpi(df, "kpi_congestion")
 
 
 def kpi_all(df: DataFrame) -> DataFrame:
@@ -69,18 +73,23 @@ def kpi_all(df: DataFrame) -> DataFrame:
     sets, which copy each input row four times, then run on those few rows only.
     """
     dimensions = list(_DIMENSIONS.values())
-    readings = list(_MEANS.values())
     cube = with_hour(df).groupBy(*dimensions).agg(
         F.count(F.lit(1)).alias("events"),
-        *[F.sum(r).alias(f"{r}_sum") for r in readings],
-        *[F.count(r).alias(f"{r}_n") for r in readings],
+        *[F.sum(r).alias(f"{r}_sum") for r in READINGS],
+        *[F.count(r).alias(f"{r}_n") for r in READINGS],
     )
+
+    def mean(reading: str) -> Column:
+        return F.try_divide(F.sum(f"{reading}_sum").cast("double"), F.sum(f"{reading}_n"))
+
     # grouping() is 0 for the one dimension a row is grouped by.
     kpi = F.coalesce(*[F.when(F.grouping(d) == 0, F.lit(name)) for name, d in _DIMENSIONS.items()])
     return cube.groupingSets([[d] for d in dimensions], *dimensions).agg(
         kpi.alias("kpi"),
-        *[F.try_divide(F.sum(f"{r}_sum"), F.sum(f"{r}_n")).alias(name) for name, r in _MEANS.items()],
-        *[F.sum(f"{r}_n").alias(name) for name, r in _COUNTS.items()],
+        mean("average_speed").alias("avg_speed"),
+        mean("occupancy_rate").alias("avg_occupancy"),
+        mean("vehicle_count").alias("avg_vehicles_per_sensor"),
+        F.sum("vehicle_count_n").alias("total_vehicles_counted"),
         F.sum("events").alias("total_events"),
     )
 

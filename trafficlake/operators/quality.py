@@ -29,22 +29,31 @@ def dedup(df: DataFrame) -> DataFrame:
 def tally(df: DataFrame) -> DataFrame:
     """``dedup(clean(df))`` with row counts, in the same single shuffle.
 
-    Adds ``n_read`` (rows with that key) and ``n_kept`` (those in range). Keys without any row
-    in range stay, with a NULL payload and ``n_kept = 0``, so that the counts add up.
+    Adds ``n_read`` (rows with that key), ``n_kept`` (those in range) and ``n_unreadable`` (those that
+    ``df.unreadable`` marks, where ``df`` has that column; they are never kept). Keys without any row in
+    range stay, with a NULL payload and ``n_kept = 0``, so that the counts add up.
     """
-    survivor = F.min(F.when(in_range(), F.struct(*EVENT_PAYLOAD))).alias("survivor")
-    counts = [F.count(F.lit(1)).alias("n_read"), F.count_if(in_range()).alias("n_kept")]
-    return df.groupBy(*EVENT_KEY).agg(survivor, *counts).select(*EVENT_KEY, "survivor.*", "n_read", "n_kept")
+    unreadable = F.col("unreadable") if "unreadable" in df.columns else F.lit(False)
+    kept = in_range() & ~unreadable
+    survivor = F.min(F.when(kept, F.struct(*EVENT_PAYLOAD))).alias("survivor")
+    counts = [
+        F.count(F.lit(1)).alias("n_read"),
+        F.count_if(kept).alias("n_kept"),
+        F.count_if(unreadable).alias("n_unreadable"),
+    ]
+    names = ["n_read", "n_kept", "n_unreadable"]
+    return df.groupBy(*EVENT_KEY).agg(survivor, *counts).select(*EVENT_KEY, "survivor.*", *names)
 
 
 def survivors(tallied: DataFrame) -> DataFrame:
-    return tallied.where("n_kept > 0").drop("n_read", "n_kept")
+    return tallied.where("n_kept > 0").drop("n_read", "n_kept", "n_unreadable")
 
 
 def tally_report(tallied: DataFrame) -> DataFrame:
-    """One row: rows read, rows in range, rows after deduplication."""
+    """One row: rows read, rows unreadable, rows in range, rows after deduplication."""
     return tallied.agg(
         F.coalesce(F.sum("n_read"), F.lit(0)).alias("rows_read"),
+        F.coalesce(F.sum("n_unreadable"), F.lit(0)).alias("rows_unreadable"),
         F.coalesce(F.sum("n_kept"), F.lit(0)).alias("rows_in_range"),
         F.count_if(F.col("n_kept") > 0).alias("rows_unique"),
     )
@@ -52,5 +61,5 @@ def tally_report(tallied: DataFrame) -> DataFrame:
 
 def quality_report(df: DataFrame) -> DataFrame:
     """Counts of the cleaning stages from one scan. The unused survivor column is pruned, which
-    leaves a hash aggregate over the key and two counters."""
+    leaves a hash aggregate over the key and the counters."""
     return tally_report(tally(df))

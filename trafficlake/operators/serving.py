@@ -13,6 +13,8 @@ from trafficlake.functions import round_half_even
 from trafficlake.schema import METRICS, SAMPLE_COLUMNS, SAMPLE_ROWS, TOP_CONGESTED_ZONES, UNKNOWN_LABEL
 from trafficlake.sources.kpi import read_kpi
 
+_SAMPLE_TASKS = 64
+
 
 def _label(column: str) -> F.Column:
     return F.coalesce(F.col(column), F.lit(UNKNOWN_LABEL)).alias(column)
@@ -50,50 +52,54 @@ class _Series(NamedTuple):
     label: str
     order: str
     descending: bool = False
-    top: int | None = None
+    top: bool = False
 
 
 _SERIES = {
     "traffic.zones": _Series("kpi_zone", "total_events", "zone", order="zone"),
     "traffic.congestion": _Series(
-        "kpi_zone", "avg_occupancy", "zone", order="avg_occupancy", descending=True, top=TOP_CONGESTED_ZONES
+        "kpi_zone", "avg_occupancy", "zone", order="avg_occupancy", descending=True, top=True
     ),
     "traffic.speed": _Series("kpi_road_type", "avg_speed", "road_type", order="avg_speed", descending=True),
     "traffic.trends": _Series("kpi_hourly", "total_vehicles_counted", "hour", order="hour"),
 }
 
 
-def _points(kpi: DataFrame, series: _Series) -> DataFrame:
+def _points(kpi: DataFrame, target: str, series: _Series, top: int) -> DataFrame:
     # One answer is one ordered list of KPI rows, so it is numbered in one place.
     order = F.desc(series.order) if series.descending else F.asc(series.order)
-    position = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(order, series.label)) - 1
+    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(order, series.label))
     label = F.col(series.label) if series.label == "hour" else _label(series.label)
     value = _rounded(series.value) if series.value.startswith("avg_") else F.col(series.value)
-    points = kpi.select(
-        position.alias("pos"),
+    numbered = kpi.withColumn("number", number)
+    # The limit is on the bare number, which Spark recognises: no more than that many rows are sorted.
+    numbered = numbered.where(F.col("number") <= top) if series.top else numbered
+    return numbered.select(
+        F.lit(target).alias("target"),
+        (F.col("number") - 1).alias("pos"),
         value.cast("double").alias("value"),
         label.cast("string").alias("label"),
     )
-    return points if series.top is None else points.where(F.col("pos") < series.top)
 
 
-def query_metrics(spark: SparkSession, base: str, targets: list[str]) -> DataFrame:
+def query_metrics(
+    spark: SparkSession, base: str, targets: list[str], top: int = TOP_CONGESTED_ZONES
+) -> DataFrame:
     """Points of the requested metrics, one row each.
 
     Requests are answered in order (``request_pos``), repeated ones again, unknown ones not at
-    all. ``pos`` numbers the points of one answer.
+    all; each metric is computed once. ``pos`` numbers the points of one answer. ``top`` is the
+    number of most congested zones.
     """
-    answers = []
-    for request_pos, target in enumerate(targets):
-        if target in _SERIES:
-            series = _SERIES[target]
-            points = _points(read_kpi(spark, base, series.table), series)
-            answers.append(
-                points.select(F.lit(request_pos).alias("request_pos"), F.lit(target).alias("target"), "*")
-            )
-    if not answers:
+    wanted = [(i, target) for i, target in enumerate(targets) if target in _SERIES]
+    if not wanted:
         return spark.createDataFrame([], "request_pos int, target string, pos int, value double, label string")
-    return reduce(DataFrame.unionByName, answers)
+    series = {target: _SERIES[target] for _, target in wanted}
+    points = [_points(read_kpi(spark, base, s.table), target, s, top) for target, s in series.items()]
+    requests = spark.createDataFrame(wanted, "request_pos int, target string")
+    # The request is as long as the caller's list.
+    answers = reduce(DataFrame.unionByName, points).join(F.broadcast(requests), "target")
+    return answers.select("request_pos", "target", "pos", "value", "label")
 
 
 def metric_datapoints(series: DataFrame) -> DataFrame:
@@ -104,11 +110,21 @@ def metric_datapoints(series: DataFrame) -> DataFrame:
     )
 
 
-def metric_catalogue(spark: SparkSession, base: str) -> DataFrame:
-    """Names of the metrics the KPI tables below ``base`` can answer."""
-    return query_metrics(spark, base, METRICS).select("target").distinct()
+def metric_catalogue(spark: SparkSession) -> DataFrame:
+    """Names of the metrics that can be asked for, whatever has been written."""
+    return spark.createDataFrame([(name,) for name in METRICS], "target string")
 
 
 def sample_events(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The ``n`` earliest events in a fixed column order. Each task keeps at most ``n`` rows."""
-    return df.orderBy("timestamp", "sensor_id").limit(n).select(*SAMPLE_COLUMNS)
+    """The ``n`` earliest events in a fixed column order.
+
+    Each task keeps its first ``n`` rows; hashed into ``_SAMPLE_TASKS`` parts these are cut to ``n`` again,
+    so that the last task sees ``n`` rows from each of those only, however many tasks there were.
+    """
+    order = ["timestamp", "sensor_id", *[c for c in SAMPLE_COLUMNS if c not in ("timestamp", "sensor_id")]]
+    rows = df.select(*SAMPLE_COLUMNS)
+    part = F.pmod(F.xxhash64("timestamp", "sensor_id"), F.lit(_SAMPLE_TASKS))
+    number = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    # row_number limits are applied before the shuffle too.
+    first = rows.withColumn("part", part).withColumn("number", number).where(F.col("number") <= n)
+    return first.select(*SAMPLE_COLUMNS).orderBy(*order).limit(n)

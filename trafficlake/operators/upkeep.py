@@ -6,7 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trafficlake.schema import EVENT_COLUMNS, KPI_NAMES, PARTITION_KEYS, RETENTION_DAYS
+from trafficlake.paths import exists, overlap
+from trafficlake.schema import KPI_NAMES, PARTITION_KEYS, RETENTION_DAYS
+from trafficlake.sources.raw import day_folders
 
 
 def _parquet_files(spark: SparkSession, folder: str) -> DataFrame | None:
@@ -36,26 +38,55 @@ def validate_outputs(spark: SparkSession, base: str) -> DataFrame:
     return counts.withColumn("status", F.when(fewest > 0, "OK").otherwise("PARTIAL"))
 
 
+def _cutoff(as_of: datetime.date, keep_days: int) -> str:
+    return (as_of - datetime.timedelta(days=keep_days)).isoformat()
+
+
 def retention_split(
     df: DataFrame, as_of: datetime.date, keep_days: int = RETENTION_DAYS
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows to keep and rows older than ``keep_days``.
+    """Rows to keep and rows older than ``keep_days``, by directory keys.
 
-    The condition is on directory keys only: each side lists just its own days. Rows in the
+    Of a lake that is read whole, files of the other side stay unopened but are listed. Rows in the
     directory for unreadable dates are kept.
     """
-    cutoff = (as_of - datetime.timedelta(days=keep_days)).isoformat()
-    expired = F.concat(F.col("year"), F.lit("-"), F.col("month"), F.lit("-"), F.col("day")) < cutoff
+    day = F.concat(F.col("year"), F.lit("-"), F.col("month"), F.lit("-"), F.col("day"))
+    expired = day < _cutoff(as_of, keep_days)
     return df.where(F.coalesce(~expired, F.lit(True))), df.where(expired)
 
 
-def archive(expired: DataFrame, archive_root: str, as_of: datetime.date, mode: str = "error") -> str:
-    """Copy expired rows, in their directories, below a folder named by the date.
+def expired_lines(
+    spark: SparkSession, root: str, as_of: datetime.date, keep_days: int = RETENTION_DAYS
+) -> DataFrame:
+    """``value``, each line of the lake's expired days as it stands, and the directory keys. Only those days
+    are listed, except in a stream's lake, which is read by its file log."""
+    last = (datetime.date.fromisoformat(_cutoff(as_of, keep_days)) - datetime.timedelta(days=1)).isoformat()
+    schema = f"value string, {', '.join(f'{k} string' for k in PARTITION_KEYS)}"
+    reader = spark.read.format("text").schema(schema)
+    if exists(spark, f"{root.rstrip('/')}/_spark_metadata"):
+        return retention_split(reader.load(root), as_of, keep_days)[1]
+    days = day_folders(spark, root, end=last)
+    if not days:
+        return spark.createDataFrame([], schema)
+    return reader.option("basePath", root).load(days)
+
+
+def archive(
+    spark: SparkSession,
+    root: str,
+    archive_root: str,
+    as_of: datetime.date,
+    keep_days: int = RETENTION_DAYS,
+    mode: str = "error",
+) -> str:
+    """Copy the lines of expired days, in their directories, below a folder named by the date.
 
-    Rows already lie by directory, so nothing is shuffled. The source is never deleted, and an
-    archive that exists is not replaced unless ``mode`` says so.
+    Lines are copied as text, so fields the library does not know and lines it cannot read are kept as they
+    are. Rows already lie by directory, so nothing is shuffled. The source is never deleted, and an archive
+    that exists is not replaced unless ``mode`` says so.
     """
     path = f"{archive_root.rstrip('/')}/{as_of:%Y%m%d}"
-    rows = expired.select(*EVENT_COLUMNS, *PARTITION_KEYS)
-    rows.write.mode(mode).partitionBy(*PARTITION_KEYS).json(path)
+    if overlap(spark, root, path):
+        raise ValueError(f"the archive ({path}) and the lake ({root}) overlap")
+    expired_lines(spark, root, as_of, keep_days).write.mode(mode).partitionBy(*PARTITION_KEYS).text(path)
     return path

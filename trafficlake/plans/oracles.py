@@ -1,5 +1,7 @@
 """SQL (DuckDB dialect) with the expected result of each query in ``queries``."""
 
+from trafficlake.plans.queries import HARD
+
 _RAW = """traffic_raw AS (
   SELECT event_id, user_id % 20 + 1 AS sensor_id,
          strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
@@ -7,10 +9,27 @@ _RAW = """traffic_raw AS (
                           WHEN 2 THEN 'Quartier-Résidentiel' ELSE 'Périphérie' END AS zone,
          CASE event_id % 4 WHEN 0 THEN 'autoroute' WHEN 1 THEN 'avenue'
                            WHEN 2 THEN 'rue' ELSE 'boulevard' END AS road_type,
-         CASE WHEN event_id % 97 = 0 THEN NULL ELSE 10 + (event_id * 37) % 341 END AS vehicle_count,
-         (event_id * 7919) % 100 - 5 AS average_speed,
-         CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 53 = 0 THEN 100
-              ELSE (event_id * 10472 + user_id * 31) % 112 - 6 END AS occupancy_rate,
+         CAST(CASE WHEN event_id % 97 = 0 THEN NULL ELSE 10 + (event_id * 37) % 341 END AS DOUBLE) AS vehicle_count,
+         CAST((event_id * 7919) % 100 - 5 AS DOUBLE) AS average_speed,
+         CAST(CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 53 = 0 THEN 100
+              ELSE (event_id * 10472 + user_id * 31) % 112 - 6 END AS DOUBLE) AS occupancy_rate,
+         CASE WHEN event_id % 211 = 0 THEN 'accident' END AS event
+  FROM events)"""
+
+
+_RAW_HARD = """traffic_raw AS (
+  SELECT event_id, CASE WHEN event_id % 71 = 0 THEN NULL ELSE user_id % 20 + 1 END AS sensor_id,
+         CASE WHEN event_id % 83 = 0 THEN 'noon'
+              WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+05:30'
+              WHEN event_id % 3 = 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '-08:00'
+              ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS "timestamp",
+         CASE WHEN user_id % 10 = 9 THEN NULL ELSE 'Zone Nord ' || user_id % 10 END AS zone,
+         CASE event_id % 4 WHEN 0 THEN 'autoroute' WHEN 1 THEN 'avenue'
+                           WHEN 2 THEN 'rue' ELSE 'boulevard' END AS road_type,
+         CAST(CASE WHEN event_id % 97 = 0 THEN NULL ELSE 10 + (event_id * 37) % 341 END AS DOUBLE) AS vehicle_count,
+         ((event_id * 7919) % 200 - 10) / 2.0::DOUBLE AS average_speed,
+         CASE WHEN event_id % 89 = 0 THEN NULL
+              ELSE ((event_id * 10472 + user_id * 31) % 224 - 12) / 2.0::DOUBLE END AS occupancy_rate,
          CASE WHEN event_id % 211 = 0 THEN 'accident' END AS event
   FROM events)"""
 
@@ -22,7 +41,8 @@ _CONGESTION = """CASE WHEN occupancy_rate IS NULL OR average_speed IS NULL THEN
               WHEN occupancy_rate >= 40 OR average_speed <= 50 THEN 'Modéré'
               ELSE 'Fluide' END AS congestion_status"""
 
-_PARSED = """CAST(CAST("timestamp" AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS timestamp_parsed"""
+_INSTANT = """CAST(TRY_CAST("timestamp" AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP)"""
+_PARSED = f"{_INSTANT} AS timestamp_parsed"
 
 _DEDUP = f"""{_RAW},
 kept AS (SELECT {_EVENT} FROM traffic_raw WHERE average_speed >= 0 AND occupancy_rate BETWEEN 0 AND 100),
@@ -35,28 +55,28 @@ _CLEAN = f"""{_DEDUP},
 traffic_clean AS (SELECT *, {_PARSED}, {_CONGESTION} FROM traffic_dedup)"""
 
 _KPIS = f"""{_CLEAN},
-kpi_road_type AS (SELECT road_type, avg(average_speed) AS avg_speed, count(*) AS total_events
+kpi_road_type AS (SELECT road_type, CAST(sum(average_speed) AS DOUBLE) / count(average_speed) AS avg_speed, count(*) AS total_events
                   FROM traffic_clean GROUP BY road_type),
-kpi_zone AS (SELECT zone, avg(occupancy_rate) AS avg_occupancy, avg(average_speed) AS avg_speed,
+kpi_zone AS (SELECT zone, CAST(sum(occupancy_rate) AS DOUBLE) / count(occupancy_rate) AS avg_occupancy, CAST(sum(average_speed) AS DOUBLE) / count(average_speed) AS avg_speed,
                     count(*) AS total_events FROM traffic_clean GROUP BY zone),
 kpi_hourly AS (SELECT CAST(hour(timestamp_parsed) AS INTEGER) AS hour, count(vehicle_count) AS total_vehicles_counted,
-                      avg(vehicle_count) AS avg_vehicles_per_sensor FROM traffic_clean GROUP BY 1),
+                      CAST(sum(vehicle_count) AS DOUBLE) / count(vehicle_count) AS avg_vehicles_per_sensor FROM traffic_clean GROUP BY 1),
 kpi_congestion AS (SELECT congestion_status, count(*) AS count FROM traffic_clean GROUP BY 1)"""
 
 _METRICS = f"""{_KPIS},
 requested AS (SELECT * FROM (VALUES (0, 'traffic.trends'), (1, 'traffic.zones'), (2, 'traffic.none'),
                 (3, 'traffic.congestion'), (4, 'traffic.speed'), (5, 'traffic.zones')) r(request_pos, target)),
 points AS (
-  SELECT 'traffic.zones' AS target, row_number() OVER (ORDER BY zone) - 1 AS pos,
-         CAST(total_events AS DOUBLE) AS value, zone AS label FROM kpi_zone
+  SELECT 'traffic.zones' AS target, row_number() OVER (ORDER BY zone NULLS FIRST) - 1 AS pos,
+         CAST(total_events AS DOUBLE) AS value, coalesce(zone, 'Inconnu') AS label FROM kpi_zone
   UNION ALL
-  SELECT 'traffic.congestion', row_number() OVER (ORDER BY avg_occupancy DESC, zone) - 1,
-         round(avg_occupancy, 2), zone FROM kpi_zone QUALIFY row_number() OVER (ORDER BY avg_occupancy DESC, zone) <= 5
+  SELECT 'traffic.congestion', row_number() OVER (ORDER BY avg_occupancy DESC, zone NULLS FIRST) - 1,
+         round_even(avg_occupancy, 2), coalesce(zone, 'Inconnu') FROM kpi_zone QUALIFY row_number() OVER (ORDER BY avg_occupancy DESC, zone NULLS FIRST) <= 5
   UNION ALL
   SELECT 'traffic.speed', row_number() OVER (ORDER BY avg_speed DESC, road_type) - 1,
-         round(avg_speed, 2), road_type FROM kpi_road_type
+         round_even(avg_speed, 2), road_type FROM kpi_road_type
   UNION ALL
-  SELECT 'traffic.trends', row_number() OVER (ORDER BY hour) - 1,
+  SELECT 'traffic.trends', row_number() OVER (ORDER BY hour NULLS FIRST) - 1,
          CAST(total_vehicles_counted AS DOUBLE), CAST(hour AS VARCHAR) FROM kpi_hourly),
 series AS (SELECT CAST(request_pos AS INTEGER) AS request_pos, target, CAST(pos AS INTEGER) AS pos, value, label
            FROM requested JOIN points USING (target))"""
@@ -80,10 +100,8 @@ _BROKEN = """CASE event_id % 50
     WHEN 30 THEN '{"timestamp":"day ' || event_id || '","zone":"Centre-Ville"}'
     WHEN 40 THEN '{"timestamp":"2024-01-01T00:00:00+00:00","sensor_id":' || event_id || '}' END"""
 
-_KEYS = """strftime(CAST(substr("timestamp", 1, 10) AS DATE), '%Y') AS year,
-         strftime(CAST(substr("timestamp", 1, 10) AS DATE), '%m') AS month,
-         strftime(CAST(substr("timestamp", 1, 10) AS DATE), '%d') AS day,
-         replace(zone, ' ', '_') AS zone_key"""
+_KEYS = f"""strftime({_INSTANT}, '%Y') AS year, strftime({_INSTANT}, '%m') AS month,
+         strftime({_INSTANT}, '%d') AS day, replace(zone, ' ', '_') AS zone_key"""
 
 _SAMPLE = f"""WITH {_CLEAN}
 SELECT sensor_id, "timestamp", zone, road_type, vehicle_count, average_speed, occupancy_rate, congestion_status
@@ -97,7 +115,7 @@ SELECT {_EVENT} FROM traffic_raw WHERE average_speed >= 0 AND occupancy_rate BET
     "parsed_timestamp": f'WITH {_RAW} SELECT sensor_id, "timestamp", {_PARSED} FROM traffic_raw',
     "sample_events": _SAMPLE,
     "quality_report": f"""WITH {_DEDUP}
-SELECT (SELECT count(*) FROM traffic_raw) AS rows_read, (SELECT count(*) FROM kept) AS rows_in_range,
+SELECT (SELECT count(*) FROM traffic_raw) AS rows_read, CAST(0 AS BIGINT) AS rows_unreadable, (SELECT count(*) FROM kept) AS rows_in_range,
        (SELECT count(*) FROM traffic_dedup) AS rows_unique""",
     "traffic_profile": f"""WITH {_PROFILE}
 SELECT *, vehicle_count BETWEEN vehicle_min AND vehicle_max AND average_speed BETWEEN speed_min AND speed_max
@@ -113,7 +131,7 @@ FROM profiled""",
     "kpi_zone": f"WITH {_KPIS} SELECT * FROM kpi_zone",
     "kpi_hourly": f"WITH {_KPIS} SELECT * FROM kpi_hourly",
     "kpi_hourly_volume": f"""WITH {_CLEAN}
-SELECT CAST(hour(timestamp_parsed) AS INTEGER) AS hour, CAST(sum(vehicle_count) AS BIGINT) AS total_vehicles
+SELECT CAST(hour(timestamp_parsed) AS INTEGER) AS hour, CAST(sum(vehicle_count) AS DOUBLE) AS total_vehicles
 FROM traffic_clean GROUP BY 1""",
     "kpi_congestion": f"WITH {_KPIS} SELECT * FROM kpi_congestion",
     "kpi_all": f"""WITH {_CLEAN},
@@ -121,22 +139,23 @@ timed AS (SELECT *, CAST(hour(timestamp_parsed) AS INTEGER) AS hour FROM traffic
 SELECT road_type, zone, hour, congestion_status,
        CASE WHEN grouping(road_type) = 0 THEN 'kpi_road_type' WHEN grouping(zone) = 0 THEN 'kpi_zone'
             WHEN grouping(hour) = 0 THEN 'kpi_hourly' ELSE 'kpi_congestion' END AS kpi,
-       avg(average_speed) AS avg_speed, avg(occupancy_rate) AS avg_occupancy,
-       avg(vehicle_count) AS avg_vehicles_per_sensor, count(vehicle_count) AS total_vehicles_counted,
+       CAST(sum(average_speed) AS DOUBLE) / count(average_speed) AS avg_speed, CAST(sum(occupancy_rate) AS DOUBLE) / count(occupancy_rate) AS avg_occupancy,
+       CAST(sum(vehicle_count) AS DOUBLE) / count(vehicle_count) AS avg_vehicles_per_sensor, count(vehicle_count) AS total_vehicles_counted,
        count(*) AS total_events
 FROM timed GROUP BY GROUPING SETS ((road_type), (zone), (hour), (congestion_status))""",
     "view_zones": f"""WITH {_KPIS}
-SELECT zone, round(avg_occupancy, 2) AS avg_occupancy, round(avg_speed, 2) AS avg_speed, total_events
+SELECT coalesce(zone, 'Inconnu') AS zone, round_even(avg_occupancy, 2) AS avg_occupancy, round_even(avg_speed, 2) AS avg_speed, total_events
 FROM kpi_zone""",
     "view_congestion_top5": f"""WITH {_KPIS}
-SELECT zone, round(avg_occupancy, 2) AS avg_occupancy, round(avg_speed, 2) AS avg_speed, total_events
-FROM (SELECT * FROM kpi_zone ORDER BY avg_occupancy DESC, zone LIMIT 5)""",
+SELECT coalesce(zone, 'Inconnu') AS zone, round_even(avg_occupancy, 2) AS avg_occupancy, round_even(avg_speed, 2) AS avg_speed, total_events
+FROM (SELECT * FROM kpi_zone ORDER BY avg_occupancy DESC, zone NULLS FIRST LIMIT 5)""",
     "view_speed": f"""WITH {_KPIS}
-SELECT road_type, round(avg_speed, 2) AS avg_speed, total_events FROM kpi_road_type""",
+SELECT road_type, round_even(avg_speed, 2) AS avg_speed, total_events FROM kpi_road_type""",
     "view_trends": f"""WITH {_KPIS}
 SELECT hour, total_vehicles_counted AS total_vehicles,
-       round(avg_vehicles_per_sensor, 2) AS avg_vehicles_per_sensor FROM kpi_hourly""",
-    "metric_catalogue": f"WITH {_METRICS} SELECT DISTINCT target FROM points",
+       round_even(avg_vehicles_per_sensor, 2) AS avg_vehicles_per_sensor FROM kpi_hourly""",
+    "metric_catalogue": """SELECT target FROM (VALUES ('traffic.zones'), ('traffic.congestion'), ('traffic.speed'),
+  ('traffic.trends')) m(target) WHERE (SELECT count(*) FROM events) >= 0""",
     "metric_series": f"WITH {_METRICS} SELECT * FROM series",
     "metric_datapoints": f"""WITH {_METRICS}
 SELECT request_pos, target, CAST(count(*) AS INTEGER) AS n_points,
@@ -175,5 +194,30 @@ UNION ALL SELECT 'kpi_congestion', congestion_status, count, NULL FROM kpi_conge
     "validate_outputs": """SELECT folder, (SELECT count(*) FROM events) > 0 AS has_files, 'OK' AS status
 FROM (VALUES ('kpi_road_type'), ('kpi_zone'), ('kpi_hourly'), ('kpi_congestion')) f(folder)""",
     "retention_expired": f"""WITH {_RAW}
-SELECT {_EVENT} FROM traffic_raw WHERE substr("timestamp", 1, 10) < '2024-01-24'""",
+SELECT {_EVENT}, {_KEYS} FROM traffic_raw WHERE substr("timestamp", 1, 10) < '2024-01-24'""",
+}
+
+# The harder events: the same SQL over the other mapping.
+ORACLES |= {f"{name}_hard": ORACLES[name].replace(_RAW, _RAW_HARD) for name in HARD}
+
+ORACLES |= {
+    "quality_mixed": f"""WITH {_RAW_HARD},
+lines AS (SELECT * FROM traffic_raw WHERE event_id % 50 NOT IN (1, 2)),
+kept AS (SELECT * FROM lines WHERE average_speed >= 0 AND occupancy_rate BETWEEN 0 AND 100)
+SELECT (SELECT count(*) FROM events) AS rows_read,
+       (SELECT count(*) FROM events WHERE event_id % 50 = 1 OR (event_id % 50 = 2 AND user_id % 10 <> 9)) AS rows_unreadable,
+       (SELECT count(*) FROM kept) + (SELECT count(*) FROM traffic_raw WHERE event_id % 50 = 2 AND zone IS NULL
+          AND average_speed >= 0 AND occupancy_rate BETWEEN 0 AND 100) AS rows_in_range,
+       (SELECT count(*) FROM (SELECT DISTINCT sensor_id, "timestamp" FROM (SELECT * FROM kept UNION ALL
+          SELECT * FROM traffic_raw WHERE event_id % 50 = 2 AND zone IS NULL
+          AND average_speed >= 0 AND occupancy_rate BETWEEN 0 AND 100))) AS rows_unique""",
+    "archive_bytes": f"""WITH {_RAW}
+SELECT CASE event_id % 3 WHEN 0 THEN '{{"sensor_id":' || event_id || ',"lane":3,"average_speed":40.50}}'
+         WHEN 1 THEN '{{broken ' || event_id ELSE '  é ' || event_id END AS value, {_KEYS}
+FROM traffic_raw WHERE substr("timestamp", 1, 10) < '2024-01-24'""",
+    "stream_ingest_extra": f"""WITH {_RAW}
+SELECT CAST(event_id % 50 AS BIGINT) AS lane, {_KEYS} FROM traffic_raw WHERE event_id % 10 = 0""",
+    "batch_job_days": ORACLES["kpi_zone"].replace(
+        "FROM events)", "FROM events WHERE CAST(ts AS DATE) BETWEEN '2024-01-10' AND '2024-01-16')"
+    ),
 }

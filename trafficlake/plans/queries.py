@@ -9,22 +9,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlake.fixtures import traffic_from_events
+from trafficlake.fixtures import traffic_from_events, traffic_hard
 from trafficlake.operators import enrich as en
 from trafficlake.operators import kpis, quality, serving, upkeep
 from trafficlake.plans.batch import run_batch, traffic_clean, write_kpis
-from trafficlake.schema import EVENT_COLUMNS, EVENT_SCHEMA, KPI_PARTITIONING, METRICS, SAMPLE_COLUMNS
+from trafficlake.schema import (
+    EVENT_COLUMNS,
+    EVENT_SCHEMA,
+    KPI_PARTITIONING,
+    METRICS,
+    PARTITION_KEYS,
+    SAMPLE_COLUMNS,
+)
 from trafficlake.session import scratch_dir, use_utc
 from trafficlake.sinks.kpi import write_kpi, write_sample
 from trafficlake.sinks.raw import write_raw
 from trafficlake.sources import codec
 from trafficlake.sources.kpi import read_kpi
-from trafficlake.sources.raw import read_lake, read_raw, read_raw_days
+from trafficlake.sources.raw import read_lake, read_raw, read_raw_checked, read_raw_days
 from trafficlake.sources.topic import read_file_stream
 from trafficlake.streaming.dedup import dedup_stream
 from trafficlake.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
+Source = Callable[..., DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Parameters the SQL of the same key repeats.
@@ -39,17 +47,42 @@ KPI_ROWS = {
     "kpi_congestion": ("congestion_status", "count", None),
 }
 
+# Queries that run over the harder events as well.
+HARD = [
+    "clean_events",
+    "dedup_events",
+    "congestion_status",
+    "quality_report",
+    "partition_keys",
+    "kpi_road_type",
+    "kpi_zone",
+    "kpi_hourly",
+    "kpi_congestion",
+    "kpi_all",
+    "view_zones",
+    "view_congestion_top5",
+    "view_speed",
+    "view_trends",
+    "metric_series",
+    "batch_job",
+    "kpi_zone_roundtrip",
+]
+
 
 def query(fn: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(use_utc(spark), sf_dir)
+    QUERIES[fn.__name__] = lambda spark, sf_dir: _plain_readings(fn(use_utc(spark), sf_dir))
+    if fn.__name__ in HARD:
+        QUERIES[f"{fn.__name__}_hard"] = lambda spark, sf_dir: _plain_readings(fn(use_utc(spark), sf_dir, traffic_hard))
+    return fn
+
 
-    QUERIES[fn.__name__] = run
-    return run
+def _plain_readings(df: DataFrame) -> DataFrame:
+    """Decimal readings as doubles, which SQL engines show alike."""
+    return df.withColumns({c: F.col(c).cast("double") for c, kind in df.dtypes if kind.startswith("decimal")})
 
 
-def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traffic_clean(traffic_from_events(spark, sf_dir))
+def _clean(spark: SparkSession, sf_dir: str, source: Source) -> DataFrame:
+    return traffic_clean(source(spark, sf_dir))
 
 
 def _plain_ts(df: DataFrame) -> DataFrame:
@@ -60,127 +93,127 @@ def _plain_ts(df: DataFrame) -> DataFrame:
 
 
 @query
-def clean_events(spark, sf_dir):
-    return quality.clean(traffic_from_events(spark, sf_dir))
+def clean_events(spark, sf_dir, source=traffic_from_events):
+    return quality.clean(source(spark, sf_dir))
 
 
 @query
-def dedup_events(spark, sf_dir):
-    return quality.dedup(quality.clean(traffic_from_events(spark, sf_dir)))
+def dedup_events(spark, sf_dir, source=traffic_from_events):
+    return quality.dedup(quality.clean(source(spark, sf_dir)))
 
 
 @query
-def congestion_status(spark, sf_dir):
-    return en.with_congestion(traffic_from_events(spark, sf_dir))
+def congestion_status(spark, sf_dir, source=traffic_from_events):
+    return en.with_congestion(source(spark, sf_dir))
 
 
 @query
-def parsed_timestamp(spark, sf_dir):
-    events = traffic_from_events(spark, sf_dir).select("sensor_id", "timestamp")
+def parsed_timestamp(spark, sf_dir, source=traffic_from_events):
+    events = source(spark, sf_dir).select("sensor_id", "timestamp")
     return _plain_ts(en.with_parsed_ts(events))
 
 
 @query
-def sample_events(spark, sf_dir):
-    return serving.sample_events(_clean(spark, sf_dir))
+def sample_events(spark, sf_dir, source=traffic_from_events):
+    return serving.sample_events(_clean(spark, sf_dir, source))
 
 
 @query
-def quality_report(spark, sf_dir):
-    return quality.quality_report(traffic_from_events(spark, sf_dir))
+def quality_report(spark, sf_dir, source=traffic_from_events):
+    return quality.quality_report(source(spark, sf_dir))
 
 
 @query
-def traffic_profile(spark, sf_dir):
-    return _plain_ts(en.with_traffic_profile(_clean(spark, sf_dir)))
+def traffic_profile(spark, sf_dir, source=traffic_from_events):
+    return _plain_ts(en.with_traffic_profile(_clean(spark, sf_dir, source)))
 
 
 @query
-def incident_flag(spark, sf_dir):
-    return _plain_ts(en.with_incident_flag(_clean(spark, sf_dir)))
+def incident_flag(spark, sf_dir, source=traffic_from_events):
+    return _plain_ts(en.with_incident_flag(_clean(spark, sf_dir, source)))
 
 
 @query
-def partition_keys(spark, sf_dir):
-    return en.with_partition_keys(traffic_from_events(spark, sf_dir))
+def partition_keys(spark, sf_dir, source=traffic_from_events):
+    return en.with_partition_keys(source(spark, sf_dir))
 
 
 # --- aggregations ------------------------------------------------------------------------------
 
 
 @query
-def kpi_road_type(spark, sf_dir):
-    return kpis.kpi_road_type(_clean(spark, sf_dir))
+def kpi_road_type(spark, sf_dir, source=traffic_from_events):
+    return kpis.kpi_road_type(_clean(spark, sf_dir, source))
 
 
 @query
-def kpi_zone(spark, sf_dir):
-    return kpis.kpi_zone(_clean(spark, sf_dir))
+def kpi_zone(spark, sf_dir, source=traffic_from_events):
+    return kpis.kpi_zone(_clean(spark, sf_dir, source))
 
 
 @query
-def kpi_hourly(spark, sf_dir):
-    return kpis.kpi_hourly(_clean(spark, sf_dir))
+def kpi_hourly(spark, sf_dir, source=traffic_from_events):
+    return kpis.kpi_hourly(_clean(spark, sf_dir, source))
 
 
 @query
-def kpi_hourly_volume(spark, sf_dir):
-    return kpis.kpi_hourly_volume(_clean(spark, sf_dir))
+def kpi_hourly_volume(spark, sf_dir, source=traffic_from_events):
+    return kpis.kpi_hourly_volume(_clean(spark, sf_dir, source))
 
 
 @query
-def kpi_congestion(spark, sf_dir):
-    return kpis.kpi_congestion(_clean(spark, sf_dir))
+def kpi_congestion(spark, sf_dir, source=traffic_from_events):
+    return kpis.kpi_congestion(_clean(spark, sf_dir, source))
 
 
 @query
-def kpi_all(spark, sf_dir):
-    return kpis.kpi_all(_clean(spark, sf_dir))
+def kpi_all(spark, sf_dir, source=traffic_from_events):
+    return kpis.kpi_all(_clean(spark, sf_dir, source))
 
 
 # --- serving views -----------------------------------------------------------------------------
 
 
 @query
-def view_zones(spark, sf_dir):
-    return serving.view_zones(kpis.kpi_zone(_clean(spark, sf_dir)))
+def view_zones(spark, sf_dir, source=traffic_from_events):
+    return serving.view_zones(kpis.kpi_zone(_clean(spark, sf_dir, source)))
 
 
 @query
-def view_congestion_top5(spark, sf_dir):
-    return serving.view_congestion(kpis.kpi_zone(_clean(spark, sf_dir)))
+def view_congestion_top5(spark, sf_dir, source=traffic_from_events):
+    return serving.view_congestion(kpis.kpi_zone(_clean(spark, sf_dir, source)))
 
 
 @query
-def view_speed(spark, sf_dir):
-    return serving.view_speed(kpis.kpi_road_type(_clean(spark, sf_dir)))
+def view_speed(spark, sf_dir, source=traffic_from_events):
+    return serving.view_speed(kpis.kpi_road_type(_clean(spark, sf_dir, source)))
 
 
 @query
-def view_trends(spark, sf_dir):
-    return serving.view_trends(kpis.kpi_hourly(_clean(spark, sf_dir)))
+def view_trends(spark, sf_dir, source=traffic_from_events):
+    return serving.view_trends(kpis.kpi_hourly(_clean(spark, sf_dir, source)))
 
 
-def _kpi_base(spark: SparkSession, sf_dir: str) -> str:
+def _kpi_base(spark: SparkSession, sf_dir: str, source: Source) -> str:
     scratch = scratch_dir(spark, "kpis")
-    write_kpis(_clean(spark, sf_dir), f"{scratch}/analytics", f"{scratch}/kpi_all")
+    write_kpis(_clean(spark, sf_dir, source), f"{scratch}/analytics", f"{scratch}/kpi_all")
     return f"{scratch}/analytics"
 
 
 @query
-def metric_catalogue(spark, sf_dir):
-    return serving.metric_catalogue(spark, _kpi_base(spark, sf_dir))
+def metric_catalogue(spark, sf_dir, source=traffic_from_events):
+    return serving.metric_catalogue(spark)
 
 
 @query
-def metric_series(spark, sf_dir):
-    return serving.query_metrics(spark, _kpi_base(spark, sf_dir), METRIC_REQUEST)
+def metric_series(spark, sf_dir, source=traffic_from_events):
+    return serving.query_metrics(spark, _kpi_base(spark, sf_dir, source), METRIC_REQUEST)
 
 
 @query
-def metric_datapoints(spark, sf_dir):
+def metric_datapoints(spark, sf_dir, source=traffic_from_events):
     """The nested answer, its points spelled out as text so that SQL can be compared."""
-    answers = serving.metric_datapoints(serving.query_metrics(spark, _kpi_base(spark, sf_dir), METRIC_REQUEST))
+    answers = serving.metric_datapoints(serving.query_metrics(spark, _kpi_base(spark, sf_dir, source), METRIC_REQUEST))
     as_text = F.transform(
         "datapoints", lambda p: F.concat_ws("=", p["label"], p["value"].cast("decimal(20,2)").cast("string"))
     )
@@ -192,13 +225,13 @@ def metric_datapoints(spark, sf_dir):
 # --- raw lake, messages and streams ------------------------------------------------------------
 
 
-def _raw_lake(spark: SparkSession, sf_dir: str) -> str:
+def _raw_lake(spark: SparkSession, sf_dir: str, source: Source) -> str:
     lake = scratch_dir(spark, "raw")
-    write_raw(traffic_from_events(spark, sf_dir), lake)
+    write_raw(source(spark, sf_dir), lake)
     return lake
 
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _messages(spark: SparkSession, sf_dir: str, source: Source) -> DataFrame:
     """All events as messages; five of every fifty are broken, each in its own way."""
     event = F.to_json(F.struct(*EVENT_COLUMNS))
     number, pick = F.col("event_id").cast("string"), F.col("event_id") % 50
@@ -210,38 +243,38 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(pick == 40, F.concat(F.lit('{"timestamp":"2024-01-01T00:00:00+00:00","sensor_id":'), number, F.lit("}")))
         .otherwise(event)
     )
-    return traffic_from_events(spark, sf_dir, "event_id").select(value.alias("value"))
+    return source(spark, sf_dir, "event_id").select(value.alias("value"))
 
 
 @query
-def raw_jsonl_scan(spark, sf_dir):
-    return read_raw(spark, f"{_raw_lake(spark, sf_dir)}/*/*/*/*/*.json")
+def raw_jsonl_scan(spark, sf_dir, source=traffic_from_events):
+    return read_raw(spark, f"{_raw_lake(spark, sf_dir, source)}/*/*/*/*/*.json")
 
 
 @query
-def raw_day_range(spark, sf_dir):
-    return read_raw_days(spark, _raw_lake(spark, sf_dir), *DAY_RANGE)
+def raw_day_range(spark, sf_dir, source=traffic_from_events):
+    return read_raw_days(spark, _raw_lake(spark, sf_dir, source), *DAY_RANGE)
 
 
 @query
-def decode_events(spark, sf_dir):
-    return codec.decode_events(_messages(spark, sf_dir))
+def decode_events(spark, sf_dir, source=traffic_from_events):
+    return codec.decode_events(_messages(spark, sf_dir, source))
 
 
 @query
-def quarantine(spark, sf_dir):
-    return codec.quarantine(_messages(spark, sf_dir))
+def quarantine(spark, sf_dir, source=traffic_from_events):
+    return codec.quarantine(_messages(spark, sf_dir, source))
 
 
 @query
-def encode_decode_roundtrip(spark, sf_dir):
-    return codec.decode_events(codec.encode_events(traffic_from_events(spark, sf_dir)))
+def encode_decode_roundtrip(spark, sf_dir, source=traffic_from_events):
+    return codec.decode_events(codec.encode_events(source(spark, sf_dir)))
 
 
 @query
-def stream_ingest(spark, sf_dir):
+def stream_ingest(spark, sf_dir, source=traffic_from_events):
     scratch = scratch_dir(spark, "stream")
-    _messages(spark, sf_dir).write.text(f"{scratch}/messages")
+    _messages(spark, sf_dir, source).write.text(f"{scratch}/messages")
     stream = ingest_stream(
         read_file_stream(spark, f"{scratch}/messages", max_files=100),
         f"{scratch}/raw",
@@ -253,10 +286,10 @@ def stream_ingest(spark, sf_dir):
 
 
 @query
-def stream_dedup(spark, sf_dir):
+def stream_dedup(spark, sf_dir, source=traffic_from_events):
     """Keys of the stream's unique events. Which copy arrives first is chance, so only those."""
     scratch = scratch_dir(spark, "stream")
-    _messages(spark, sf_dir).write.text(f"{scratch}/messages")
+    _messages(spark, sf_dir, source).write.text(f"{scratch}/messages")
     events = codec.storable_events(read_file_stream(spark, f"{scratch}/messages"))
     unique = dedup_stream(events, delay="90 days").writeStream.format("parquet").outputMode("append")
     unique = unique.option("checkpointLocation", f"{scratch}/checkpoint").trigger(availableNow=True)
@@ -274,19 +307,19 @@ def _kpi_roundtrip(spark: SparkSession, sf_dir: str, name: str, kpi: DataFrame)
 
 
 @query
-def kpi_road_roundtrip(spark, sf_dir):
-    return _kpi_roundtrip(spark, sf_dir, "kpi_road_type", kpis.kpi_road_type(_clean(spark, sf_dir)))
+def kpi_road_roundtrip(spark, sf_dir, source=traffic_from_events):
+    return _kpi_roundtrip(spark, sf_dir, "kpi_road_type", kpis.kpi_road_type(_clean(spark, sf_dir, source)))
 
 
 @query
-def kpi_zone_roundtrip(spark, sf_dir):
-    return _kpi_roundtrip(spark, sf_dir, "kpi_zone", kpis.kpi_zone(_clean(spark, sf_dir)))
+def kpi_zone_roundtrip(spark, sf_dir, source=traffic_from_events):
+    return _kpi_roundtrip(spark, sf_dir, "kpi_zone", kpis.kpi_zone(_clean(spark, sf_dir, source)))
 
 
 @query
-def sample_csv_roundtrip(spark, sf_dir):
+def sample_csv_roundtrip(spark, sf_dir, source=traffic_from_events):
     path = f"{scratch_dir(spark, 'sample')}/csv"
-    write_sample(serving.sample_events(_clean(spark, sf_dir)), path)
+    write_sample(serving.sample_events(_clean(spark, sf_dir, source)), path)
     types = {f.name: f.dataType.simpleString() for f in EVENT_SCHEMA}
     schema = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in SAMPLE_COLUMNS)
     return spark.read.schema(schema).option("header", True).csv(path)
@@ -296,10 +329,10 @@ def sample_csv_roundtrip(spark, sf_dir):
 
 
 @query
-def batch_job(spark, sf_dir):
+def batch_job(spark, sf_dir, source=traffic_from_events):
     """Raw JSON files to written KPI tables; returns the rows of all four, read back."""
     scratch = scratch_dir(spark, "job")
-    write_raw(traffic_from_events(spark, sf_dir), f"{scratch}/raw")
+    write_raw(source(spark, sf_dir), f"{scratch}/raw")
     run_batch(spark, f"{scratch}/raw", f"{scratch}/analytics", f"{scratch}/sample")
     tables = {name: read_kpi(spark, f"{scratch}/analytics", name) for name in KPI_ROWS}
     rows = [
@@ -315,13 +348,77 @@ def batch_job(spark, sf_dir):
 
 
 @query
-def validate_outputs(spark, sf_dir):
-    checked = upkeep.validate_outputs(spark, _kpi_base(spark, sf_dir))
+def validate_outputs(spark, sf_dir, source=traffic_from_events):
+    checked = upkeep.validate_outputs(spark, _kpi_base(spark, sf_dir, source))
     return checked.select("folder", (F.col("n_files") > 0).alias("has_files"), "status")
 
 
 @query
-def retention_expired(spark, sf_dir):
-    _, expired = upkeep.retention_split(read_lake(spark, _raw_lake(spark, sf_dir)), RETENTION_AS_OF)
-    archive = upkeep.archive(expired, scratch_dir(spark, "archive"), RETENTION_AS_OF)
-    return read_raw(spark, archive)
+def retention_expired(spark, sf_dir, source=traffic_from_events):
+    archived = upkeep.archive(spark, _raw_lake(spark, sf_dir, source), scratch_dir(spark, "archive"), RETENTION_AS_OF)
+    return read_lake(spark, archived)
+
+
+# --- messages and lines as they come -----------------------------------------------------------
+
+
+def _lines(spark: SparkSession, sf_dir: str, source: Source) -> DataFrame:
+    """All events as lines: every tenth with a field the library does not know and a speed with decimals,
+    every fiftieth broken, every fiftieth with a count that is no number."""
+    event = F.to_json(F.struct(*codec.written_readings()))
+    pick = F.col("event_id") % 50
+    extra = F.concat(F.lit('{"lane":'), pick.cast("string"), F.lit(","), F.substring(event, 2, 10_000))
+    value = (
+        F.when(pick == 1, F.lit('{"sensor_id":1,"lane":2'))
+        .when(pick == 2, F.regexp_replace(event, r'"zone"', '"vehicle_count":"many","zone"'))
+        .when(pick % 10 == 0, extra)
+        .otherwise(event)
+    )
+    return source(spark, sf_dir, "event_id").select(value.alias("value"), "timestamp")
+
+
+@query
+def quality_mixed(spark, sf_dir, source=traffic_hard):
+    """Counts over lines of which some cannot be read."""
+    folder = f"{scratch_dir(spark, 'mixed')}/lines"
+    _lines(spark, sf_dir, source).select("value").write.text(folder)
+    return quality.quality_report(read_raw_checked(spark, folder))
+
+
+@query
+def stream_ingest_extra(spark, sf_dir, source=traffic_from_events):
+    """The unknown field of every tenth message, read from the lake that the stream wrote."""
+    scratch = scratch_dir(spark, "stream")
+    _lines(spark, sf_dir, source).select("value").write.text(f"{scratch}/messages")
+    messages = read_file_stream(spark, f"{scratch}/messages", max_files=100)
+    stream = ingest_stream(messages, f"{scratch}/raw", f"{scratch}/checkpoint", {"availableNow": True}, writers=4)
+    stream.awaitTermination()
+    lane = F.get_json_object("value", "$.lane").cast("bigint").alias("lane")
+    lines = spark.read.schema("value string, year string, month string, day string, zone_key string")
+    return lines.text(f"{scratch}/raw").where(lane.isNotNull()).select(lane, "year", "month", "day", "zone_key")
+
+
+@query
+def archive_bytes(spark, sf_dir, source=traffic_from_events):
+    """Lines of the expired days after archiving, byte for byte, with their directories."""
+    scratch = scratch_dir(spark, "archive")
+    number = F.col("event_id").cast("string")
+    value = (
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"sensor_id":'), number, F.lit(',"lane":3,"average_speed":40.50}')))
+        .when(F.col("event_id") % 3 == 1, F.concat(F.lit("{broken "), number))
+        .otherwise(F.concat(F.lit("  é "), number))
+    )
+    keyed = en.with_partition_keys(source(spark, sf_dir, "event_id")).select(value.alias("value"), *PARTITION_KEYS)
+    keyed.write.partitionBy(*PARTITION_KEYS).text(f"{scratch}/raw")
+    archived = upkeep.archive(spark, f"{scratch}/raw", f"{scratch}/old", RETENTION_AS_OF)
+    return spark.read.schema("value string, year string, month string, day string, zone_key string").text(archived)
+
+
+@query
+def batch_job_days(spark, sf_dir, source=traffic_from_events):
+    """Zones of the batch job over a range of days."""
+    scratch = scratch_dir(spark, "job")
+    write_raw(source(spark, sf_dir), f"{scratch}/raw")
+    start, end = DAY_RANGE
+    run_batch(spark, f"{scratch}/raw", f"{scratch}/analytics", f"{scratch}/sample", start=start, end=end)
+    return read_kpi(spark, f"{scratch}/analytics", "kpi_zone")

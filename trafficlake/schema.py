@@ -2,19 +2,26 @@
 
 from pyspark.sql import types as T
 
+# ---------------------------------------------------------------------------
+# Labels, limits and names that results and stored files carry.
+# ---------------------------------------------------------------------------
+# Readings may have decimals. A decimal type keeps sums exact, in whatever order rows come.
+READING = T.DecimalType(18, 6)
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("sensor_id", T.LongType()),
         T.StructField("timestamp", T.StringType()),
         T.StructField("zone", T.StringType()),
         T.StructField("road_type", T.StringType()),
-        T.StructField("vehicle_count", T.LongType()),
-        T.StructField("average_speed", T.LongType()),
-        T.StructField("occupancy_rate", T.LongType()),
+        T.StructField("vehicle_count", READING),
+        T.StructField("average_speed", READING),
+        T.StructField("occupancy_rate", READING),
         T.StructField("event", T.StringType()),
     ]
 )
 EVENT_COLUMNS = EVENT_SCHEMA.names
+READINGS = ["vehicle_count", "average_speed", "occupancy_rate"]
 EVENT_KEY = ["sensor_id", "timestamp"]
 EVENT_PAYLOAD = [c for c in EVENT_COLUMNS if c not in EVENT_KEY]
 
@@ -57,9 +64,6 @@ KPI_NAMES = list(KPI_SCHEMAS)
 # Directory levels of the KPI tables that have any.
 KPI_PARTITIONING = {"kpi_zone": ["zone"]}
 
-# ---------------------------------------------------------------------------
-# Labels, limits and names that results and stored files carry.
-# ---------------------------------------------------------------------------
 # Congestion label, occupancy (%) from which it applies, speed (km/h) up to which it applies.
 CONGESTION_BANDS = [
     ("Bloqué", 85, 20),

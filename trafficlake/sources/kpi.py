@@ -1,12 +1,16 @@
 from pyspark.sql import DataFrame, SparkSession
 
+from trafficlake.paths import exists, has_files
 from trafficlake.schema import KPI_SCHEMAS
 
 
 def read_kpi(spark: SparkSession, base: str, name: str, ignore_corrupt: bool = False) -> DataFrame:
     """A written KPI table, directory values restored as columns.
 
-    ``ignore_corrupt`` skips unreadable files instead of failing.
+    ``ignore_corrupt`` skips unreadable files instead of failing. A folder that is missing, or holds no
+    Parquet file, is an error: a job that wrote nothing must not look like a road without traffic.
     """
+    if exists(spark, f"{base}/{name}") and not has_files(spark, f"{base}/{name}", ".parquet"):
+        raise FileNotFoundError(f"no Parquet file in {base}/{name}")
     reader = spark.read.schema(KPI_SCHEMAS[name]).option("ignoreCorruptFiles", ignore_corrupt)
     return reader.parquet(f"{base}/{name}").select(*KPI_SCHEMAS[name].names)

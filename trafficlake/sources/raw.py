@@ -1,8 +1,15 @@
-from pyspark.sql import DataFrame, SparkSession
+import re
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from trafficlake.paths import exists, folders
 from trafficlake.schema import EVENT_COLUMNS, EVENT_SCHEMA, PARTITION_KEYS, RAW_LAKE_SCHEMA
 
+_CORRUPT = "_corrupt_record"
+
 
 def read_raw(spark: SparkSession, *paths: str) -> DataFrame:
     """JSON Lines events at any depth below the paths; declared schema, no inference pass.
@@ -12,8 +19,26 @@ def read_raw(spark: SparkSession, *paths: str) -> DataFrame:
     are not read, so a lake with ``zone=...`` directories keeps the zone as the event spells it.
     Name the root of a lake written by a stream, not a glob: Spark then reads committed files only.
     """
-    reader = spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", True)
-    return reader.json(list(paths))
+    return _events(spark, *paths).select(*EVENT_COLUMNS)
+
+
+def read_raw_checked(spark: SparkSession, *paths: str) -> DataFrame:
+    """``read_raw`` with ``unreadable``: lines that are no JSON, or have a field of another type. What can be
+    read of them stays in the other columns."""
+    return _events(spark, *paths).select(*EVENT_COLUMNS, _unreadable())
+
+
+def _unreadable() -> Column:
+    """Spark checks the types of the fields it is asked for only; the second part, never true for numbers,
+    asks for all that can have a wrong one."""
+    asked = [F.isnan(F.col(f.name).cast("double")) for f in EVENT_SCHEMA if f.dataType != T.StringType()]
+    return (F.col(_CORRUPT).isNotNull() | F.coalesce(reduce(Column.__or__, asked), F.lit(False))).alias("unreadable")
+
+
+def _events(spark: SparkSession, *paths: str) -> DataFrame:
+    schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT)
+    return reader.option("recursiveFileLookup", True).json(list(paths))
 
 
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
@@ -21,9 +46,34 @@ def read_lake(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(RAW_LAKE_SCHEMA).json(root).select(*EVENT_COLUMNS, *PARTITION_KEYS)
 
 
-def read_raw_days(spark: SparkSession, root: str, start: str, end: str) -> DataFrame:
-    """Events of the days ``start`` to ``end`` (``yyyy-MM-dd``, inclusive) with directory keys.
+def day_folders(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> list[str]:
+    """Folders of the lake's days from ``start`` to ``end`` (``yyyy-MM-dd``, inclusive, NULL: open), found by
+    listing folders down to the day only. The folder for unreadable dates belongs to no range."""
+    found = []
+    for folder in folders(spark, f"{root.rstrip('/')}/year=*/month=*/day=*"):
+        day = "-".join(part.partition("=")[2] for part in folder.rstrip("/").split("/")[-3:])
+        if re.fullmatch(r"\d{4}-\d{2}-\d{2}", day) and (start or day) <= day <= (end or day):
+            found.append(folder)
+    return found
+
+
+def read_raw_days(
+    spark: SparkSession, root: str, start: str | None = None, end: str | None = None, checked: bool = False
+) -> DataFrame:
+    """Events of the days ``start`` to ``end`` (``yyyy-MM-dd``, inclusive, NULL: open) with directory keys.
 
-    The condition uses directory keys only, so files of other days are never opened.
+    Files of other days are neither opened nor listed. A stream's lake is read by the stream's file log,
+    where the condition on the keys leaves other days' files unopened. ``checked`` adds ``unreadable`` as in
+    ``read_raw_checked``.
     """
-    return read_lake(spark, root).where(F.concat_ws("-", "year", "month", "day").between(start, end))
+    schema = T.StructType([*RAW_LAKE_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT)
+    columns = [*EVENT_COLUMNS, *PARTITION_KEYS]
+    columns += [_unreadable()] if checked else []
+    if exists(spark, f"{root.rstrip('/')}/_spark_metadata"):
+        day = F.concat_ws("-", "year", "month", "day")
+        return reader.json(root).where(day.between(start or "0000", end or "9999")).select(*columns)
+    days = day_folders(spark, root, start, end)
+    if not days:
+        return spark.createDataFrame([], schema).select(*columns)
+    return reader.option("basePath", root).json(days).select(*columns)
