@@ -8,7 +8,7 @@ from trafficlake.sources.codec import encode_events, storable_events
 from trafficlake.sources.raw import read_lake, read_raw
 from trafficlake.sources.topic import read_file_stream, read_topic, topic_batching, topic_options
 from trafficlake.sinks.topic import topic_sink_options, write_topic
-from trafficlake.streaming.dedup import dedup_stream
+from trafficlake.streaming.dedup import dedup_stream, late_events
 from trafficlake.streaming.ingest import ingest_stream, quarantine_stream
 
 NOW = {"availableNow": True}
@@ -85,6 +85,30 @@ def test_stream_equals_batch(spark, feed, tmp_path, event):
     assert sorted(map(str, read_lake(spark, feed.out).collect())) == sorted(map(str, read_lake(spark, batch).collect()))
 
 
+def test_whole_messages_are_stored(spark, feed):
+    """Unknown fields, decimals and spelling stay; line breaks between values become spaces."""
+    text = '{"lane": 3, "sensor_id":1,"average_speed":40.50,  "timestamp":"2026-01-08T10:00:00+00:00","zone":"A"}'
+    feed.send(text)
+    feed.ingest(spark, writers=2)
+    assert [r.value for r in spark.read.text(feed.out).collect()] == [text]
+    assert [(r.sensor_id, float(r.average_speed)) for r in read_lake(spark, feed.out).collect()] == [(1, 40.5)]
+
+
+def test_late_events_are_counted(spark, feed):
+    feed.send(_message(1, "2026-01-08T10:00:00+00:00"))
+    feed.send(_message(2, "2026-01-08T12:00:00+00:00"))
+    feed.send(_message(3, "2026-01-08T09:00:00+00:00"), _message(4, "2026-01-08T12:01:00+00:00"))
+    events = storable_events(read_file_stream(spark, str(feed.inbox), max_files=1))
+    stream = dedup_stream(events, "10 minutes").writeStream.format("memory").queryName("late").outputMode("append")
+    stream = stream.option("checkpointLocation", feed.checkpoint).start()
+    try:
+        stream.processAllAvailable()
+        assert late_events(stream) + spark.table("late").count() == 4
+        assert late_events(stream) == 1
+    finally:
+        stream.stop()
+
+
 def test_quarantine_stream(spark, feed, tmp_path):
     feed.send(_message(1, "2026-01-08T10:00:00+00:00"), "{broken", _message(2, "soon"))
     out = str(tmp_path / "aside")

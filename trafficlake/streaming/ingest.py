@@ -3,17 +3,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trafficlake.operators.enrich import with_partition_keys
-from trafficlake.schema import EVENT_COLUMNS, PARTITION_KEYS
-from trafficlake.sources.codec import quarantine, storable_events
+from trafficlake.schema import PARTITION_KEYS
+from trafficlake.sources.codec import quarantine, storable_messages
 
 
 def _spread(df: DataFrame, writers: int, spread: int | None) -> DataFrame:
     """Bring the rows of one directory to at most ``spread`` of ``writers`` tasks.
 
-    The salt comes from the event, so a repeated task writes the same rows. By default a
+    The salt comes from the message, so a repeated task writes the same rows. By default a
     directory may use a third of the tasks, which keeps them even if it gets a third of the rows.
     """
-    salt = F.pmod(F.xxhash64(*EVENT_COLUMNS), F.lit(spread or -(-writers // 3)))
+    salt = F.pmod(F.xxhash64("value"), F.lit(spread or -(-writers // 3)))
     return df.repartition(writers, *PARTITION_KEYS, salt)
 
 
@@ -25,16 +25,18 @@ def ingest_stream(
     writers: int | None = None,
     spread: int | None = None,
 ) -> StreamingQuery:
-    """Store the messages' events in the raw lake, each exactly once.
+    """Store the messages whose events have a place in the raw lake, each exactly once.
 
-    Each event goes to the directory of its own date and zone. Without ``writers`` there is no
+    A message is stored whole, as one line of text: fields the library does not know stay in the lake, and
+    numbers keep their spelling. Line breaks, which JSON allows between values only, become spaces. Each goes to the directory of its own date and zone. Without ``writers`` there is no
     shuffle and every source task writes its own files; with it, a micro-batch writes at most
     ``spread`` files per directory. ``trigger`` holds arguments of ``DataStreamWriter.trigger``.
     """
-    events = with_partition_keys(storable_events(messages))
+    line = F.regexp_replace("value", "[\\r\\n]+", " ").alias("value")
+    events = with_partition_keys(storable_messages(messages)).select(line, *PARTITION_KEYS)
     if writers is not None:
         events = _spread(events, writers, spread)
-    return _start(events.writeStream.format("json").partitionBy(*PARTITION_KEYS), out, checkpoint, trigger)
+    return _start(events.writeStream.format("text").partitionBy(*PARTITION_KEYS), out, checkpoint, trigger)
 
 
 def quarantine_stream(
