@@ -5,7 +5,7 @@ import pytest
 
 from trafficlake.fixtures import traffic_from_events
 from trafficlake.operators.quality import quality_report
-from trafficlake.operators.upkeep import archive, expired_lines, retention_split
+from trafficlake.operators.upkeep import archive, compact_days, expired_lines, retention_split
 from trafficlake.sinks.raw import write_raw
 from trafficlake.sources.raw import read_lake, read_raw, read_raw_checked, read_raw_days
 
@@ -153,3 +153,14 @@ def test_decimal_readings_survive(spark, tmp_path):
     write_raw(read_raw(spark, str(tmp_path / "a.json")).where("sensor_id < 3"), str(written))
     text = "".join(f.read_text() for f in written.rglob("*.json"))
     assert '"average_speed":40.5' in text and '"average_speed":40.0' in text
+
+
+def test_compaction_joins_small_files(spark, event, tmp_path):
+    out, small = str(tmp_path / "out"), str(tmp_path / "raw")
+    for sensor in range(5):
+        write_raw(event({"sensor_id": sensor}, {"sensor_id": sensor, "timestamp": "2026-01-09T00:00:00+00:00"}), small)
+    compact_days(spark, small, out, end="2026-01-08")
+    rows = read_lake(spark, out)
+    assert sorted(r.sensor_id for r in rows.collect()) == [0, 1, 2, 3, 4] and len(rows.inputFiles()) == 1
+    with pytest.raises(ValueError, match="overlap"):
+        compact_days(spark, small, f"{small}/x")

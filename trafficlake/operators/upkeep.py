@@ -55,22 +55,39 @@ def retention_split(
     return df.where(F.coalesce(~expired, F.lit(True))), df.where(expired)
 
 
-def expired_lines(
-    spark: SparkSession, root: str, as_of: datetime.date, keep_days: int = RETENTION_DAYS
-) -> DataFrame:
-    """``value``, each line of the lake's expired days as it stands, and the directory keys. Only those days
-    are listed, except in a stream's lake, which is read by its file log."""
-    last = (datetime.date.fromisoformat(_cutoff(as_of, keep_days)) - datetime.timedelta(days=1)).isoformat()
+def day_lines(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """``value``, each line of the lake's days ``start`` to ``end`` as it stands, and the directory keys. Only
+    those days are listed, except in a stream's lake, which is read by its file log."""
     schema = f"value string, {', '.join(f'{k} string' for k in PARTITION_KEYS)}"
     reader = spark.read.format("text").schema(schema)
     if exists(spark, f"{root.rstrip('/')}/_spark_metadata"):
-        return retention_split(reader.load(root), as_of, keep_days)[1]
-    days = day_folders(spark, root, end=last)
+        day = F.concat_ws("-", "year", "month", "day")
+        return reader.load(root).where(F.col("year").isNotNull() & day.between(start or "0000", end or "9999"))
+    days = day_folders(spark, root, start, end)
     if not days:
         return spark.createDataFrame([], schema)
     return reader.option("basePath", root).load(days)
 
 
+def expired_lines(
+    spark: SparkSession, root: str, as_of: datetime.date, keep_days: int = RETENTION_DAYS
+) -> DataFrame:
+    """The lines of days older than ``keep_days``."""
+    last = datetime.date.fromisoformat(_cutoff(as_of, keep_days)) - datetime.timedelta(days=1)
+    return day_lines(spark, root, end=last.isoformat())
+
+
+def compact_days(
+    spark: SparkSession, root: str, out: str, start: str | None = None, end: str | None = None, mode: str = "error"
+) -> None:
+    """Copy closed days of a lake, as a stream leaves them in many small files, to another root in files of the
+    advisory size; lines stay as they are. The source is never deleted."""
+    if overlap(spark, root, out):
+        raise ValueError(f"the copy ({out}) and the lake ({root}) overlap")
+    lines = day_lines(spark, root, start, end).hint("rebalance", *[F.col(k) for k in PARTITION_KEYS])
+    lines.write.mode(mode).partitionBy(*PARTITION_KEYS).text(out)
+
+
 def archive(
     spark: SparkSession,
     root: str,
