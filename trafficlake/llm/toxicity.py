@@ -117,19 +117,19 @@ class Lexicon:
 
     def features(self, text: str) -> list[float]:
         words = text.split()
-        spelled = [_plain(x) for x in _SPELLED.findall(text)] if _SPELLED.search(text) else []
+        spelled = [x for x in map(_plain, _SPELLED.findall(text)) if self._find(x)[0]]
         found = list(map(self.hit, words))
         kinds = np.fromiter((f[0] for f in found), np.int64, len(found))
         hits = np.flatnonzero(kinds & 3)
         person = np.flatnonzero(kinds & 4)
         far = np.searchsorted(person, hits + NEAR_WORDS + 1) - np.searchsorted(person, hits - NEAR_WORDS)
-        hidden = int(np.count_nonzero(kinds & 2)) + sum(self._find(x)[0] > 0 for x in spelled)
+        hidden = int(np.count_nonzero(kinds & 2)) + len(spelled)
         octets = np.bincount(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), minlength=128)
         n, chars = max(1, len(words)), max(1, len(text))
         marks = octets[33:48].sum() + octets[58:65].sum() + octets[91:97].sum() + octets[123:127].sum()
         return [
             len(hits) / n,
-            float(np.log1p(len(hits) + len(spelled and [x for x in spelled if self._find(x)[0]]))),
+            float(np.log1p(len(hits) + len(spelled))),
             float(np.log1p(len({found[i][2] for i in hits}))),
             float(np.log1p(sum(found[i][1] for i in hits))),
             hidden / n,
@@ -148,7 +148,8 @@ class Lexicon:
 def _draw(labels: DataFrame, most: int, seed: str) -> DataFrame:
     """About ``most`` rows of each class at most, by a hash of doc_id."""
     counts = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
-    share = F.when(F.col("toxic") == 1, min(1.0, most / max(1, counts.get(1, 0)))).otherwise(min(1.0, most / max(1, counts.get(0, 0))))
+    toxic, other = (min(1.0, most / max(1, counts.get(kind, 0))) for kind in (1, 0))
+    share = F.when(F.col("toxic") == 1, toxic).otherwise(other)
     draw = F.conv(F.substring(hash_order(seed), 1, 8), 16, 10).cast("bigint") / F.lit(2.0**32)
     return labels.where(draw < share)
 
