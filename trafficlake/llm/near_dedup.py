@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficlake.llm.common import staged, without
+from trafficlake.llm.common import small_side, staged, without
 from trafficlake.llm.components import connected
 
 WORDS = 3
@@ -82,7 +82,7 @@ def links(prints: DataFrame) -> DataFrame:
     )
     buckets = staged(buckets.where("n > 1"), "simhash-buckets")
     pairs = buckets.where("n = 2").select("a", "b").where(F.expr(f"bit_count(a ^ b) <= {DISTANCE}"))
-    crowded = buckets.where("n > 2").select("variant")
+    crowded = small_side(buckets.where("n > 2").select("variant"))
     members = variants.join(crowded, "variant", "left_semi").select("print").distinct()
     around = F.explode(F.sequence(F.lit(-1), F.lit(63))).alias("bit")
     word = F.expr("if(bit < 0, print, print ^ shiftleft(1L, greatest(bit, 0)))")
