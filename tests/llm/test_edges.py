@@ -259,3 +259,18 @@ def test_chat(spark):
     later = windows.where("conv_id = 1 and window > 0")
     assert later.count() > 5 and later.where("repeated = 0").count() == 0
     assert format_conversations(turns.limit(0)).count() == 0
+
+
+def test_tokens_are_those_of_the_whole_text():
+    import random
+
+    from tokenizers import Tokenizer
+
+    from trafficlake.llm.tokens import VOCABULARY, encode, vocabulary_path
+
+    coder = Tokenizer.from_file(vocabulary_path(VOCABULARY))
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab 's.,1\né!  中") for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    texts += ["a <|endoftext|>  b", " x  \n y\n\n z \n", "é    b\tc", "", None, "a\x1cb  c", "\0a b", "a b c", "x" * 500]
+    for text, ids in zip(texts, encode(texts)):
+        assert coder.encode(text or "", add_special_tokens=False).ids == np.frombuffer(ids, "<u4").tolist()
