@@ -100,15 +100,20 @@ def test_language_held_out(spark, docs):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
-def test_toxicity_held_out(spark, docs):
-    rows = rows_of(spark, "op8")
-    assert len(rows) == len(docs)
+def test_toxicity_held_out(spark):
+    """On the larger tables: in the small ones six held-out documents are toxic, two of them by words that no
+    other document has."""
+    folder = "/root/testdata/sf0.1"
+    rows = contract.queries()[OPS["op8"]](spark, folder).collect()
+    assert len(rows) == table(spark, folder, "documents").count()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
-    toxic = {r["doc_id"]: r["toxic"] for r in table(spark, SF_DIR, "labels").collect()}
+    toxic = {r["doc_id"]: r["toxic"] for r in table(spark, folder, "labels").collect()}
     held = [(toxic[r["doc_id"]], r["score"]) for r in rows if r["held_out"] and r["doc_id"] in toxic]
     pairs = [(a > b) + (a == b) / 2 for t, a in held if t for u, b in held if not u]
-    assert np.mean(pairs) > 0.9
+    assert np.mean(pairs) > 0.97
+    assert np.mean([score < 0.5 for label, score in held if not label]) > 0.99
+    assert np.mean([score >= 0.5 for label, score in held if label]) > 0.9
 
 
 def test_packing_round_trip(spark, docs):
