@@ -29,6 +29,8 @@ _LETTER = re.compile(r"[^\W\d_]")
 _BATCH = 256
 #: Letters told apart; rarer ones share a code. Code 0 is everything that is no letter.
 _LETTERS = 254
+#: Where the numbers of each order's n-grams begin.
+_OFFSETS = {1: 0, 2: 1 << 16, 3: 1 << 24}
 
 
 def bounded_sample(rows: DataFrame, label: str, most: int, seed: str) -> DataFrame:
@@ -73,7 +75,7 @@ class Alphabet:
             if n > 1:
                 gram = (gram[:-1] << np.uint32(8)) | codes[n - 1 :]
             if n in ORDERS and len(gram):
-                parts.append(gram + np.uint32(n << 24))
+                parts.append(gram + np.uint32(_OFFSETS[n]))
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
     def __getstate__(self):
@@ -107,7 +109,8 @@ class Model:
     def presence(self, texts: list[str]) -> np.ndarray:
         """One row for each text, 1 for each known n-gram that it has anywhere."""
         if self._slots is None:
-            self._slots = np.full((max(ORDERS) + 1) << 24, len(self.known), np.int32)
+            kind = np.int16 if len(self.known) < 1 << 15 else np.int32
+            self._slots = np.full(2 << 24, len(self.known), kind)
             self._slots[self.known] = np.arange(len(self.known))
         rows = np.zeros((len(texts), len(self.known) + 1), np.float32)
         for row, text in zip(rows, texts):

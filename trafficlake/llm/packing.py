@@ -28,6 +28,8 @@ GROUP_PIECES = 1 << 17
 CLASSES = 4096
 #: Pieces up to this share of the capacity are small.
 SMALL_SHARE = 1 / 8
+#: Rows of an Arrow batch that are Python strings at a time.
+_ROWS = 500
 
 
 def _cut(n: int, capacity: int) -> list[int]:
@@ -44,7 +46,7 @@ def pieces(
     end = struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, _ROWS) for whole in batches for i in range(0, whole.num_rows, _ROWS)):
             owner, piece, start, length, crc, lists = [], [], [], [], [], []
             for doc_id, coded in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist(), vocabulary)):
                 coded += end
