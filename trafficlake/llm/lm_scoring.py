@@ -26,7 +26,7 @@ ALPHA = 0.4
 UNSEEN = 0.5
 
 #: Bytes of text in a chunk, and different n-grams of all chunks in a bucket, about.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 6_000_000
 BUCKET_BYTES = 3_500_000
 MAX_BUCKETS = 1 << 16
 #: Hashes have so many bits beyond those that number the n-grams: two of them collide once in 2^24 n-grams.
