@@ -22,8 +22,12 @@ LANDMARKS_PER_LANGUAGE = 40
 ORDERS = (1, 2, 3)
 RIDGE = 1e-3
 UNDETERMINED = "und"
-#: Below this score the pipeline takes a document for none of the languages.
-LEAST_SCORE = 0.25
+#: Below this evidence the pipeline takes a document for none of the languages.
+LEAST_EVIDENCE = 1.0
+#: What few n-grams say is unsure: this over the square root of their number is added to the evidence.
+SLACK = 1.5
+#: Stands for the lead over the second language where there is only one.
+LONE_LEAD = 0.3
 
 _LETTER = re.compile(r"[^\W\d_]")
 _BATCH = 256
@@ -105,6 +109,10 @@ class Model:
         # A score is linear in the presence of n-grams over the text's norm, so the landmarks fold in.
         self.weights = (marks.T @ (root @ weights[:-1])).astype(np.float32)
         self.bias = weights[-1].astype(np.float32)
+        # The share of a landmark's longest n-grams that other landmarks have: what a text of a learned language shows.
+        shared = np.append(presence[landmarks].sum(axis=0) > 1, False)
+        shares = [shared[slots].mean() for i in landmarks if len(slots := self._longest(texts[i]))]
+        self.usual = float(np.median(shares)) if shares else 0.0
 
     def presence(self, texts: list[str]) -> np.ndarray:
         """One row for each text, 1 for each known n-gram that it has anywhere."""
@@ -122,6 +130,28 @@ class Model:
         norms = np.sqrt(np.maximum(presence.sum(axis=1), 1))
         return (presence @ self.weights) / norms[:, None] + self.bias
 
+    def _longest(self, text: str) -> np.ndarray:
+        """Slots of the text's longest n-grams that have a letter, one for each place."""
+        grams = self.alphabet.grams(text)
+        return self._slots[grams[grams > _OFFSETS[max(ORDERS)]]]
+
+    def evidence(self, texts: list[str], margins: np.ndarray) -> np.ndarray:
+        """How much speaks for the best language of each text: the share of its longest n-grams that the landmarks
+        know, over the usual share, its lead over the second language, and the slack of short texts.
+
+        The scores of a text add up to 1, whatever it is, so the best one alone says little. If a text has no
+        such n-gram, or the landmarks none in common, there is nothing to go by, and the evidence is infinite.
+        """
+        ranked = np.sort(margins, axis=1)
+        lead = (ranked[:, -1] - ranked[:, -2]) / 2 if len(self.languages) > 1 else np.full(len(texts), LONE_LEAD)
+        found = np.full(len(texts), np.inf)
+        for i, text in enumerate(texts):
+            slots = self._longest(text)
+            if len(slots) and self.usual:
+                share = np.count_nonzero(slots != len(self.known)) / len(slots)
+                found[i] = share / self.usual + lead[i] + SLACK / np.sqrt(len(slots))
+        return found
+
     def __getstate__(self):
         return self.__dict__ | {"_slots": None}
 
@@ -182,17 +212,27 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(scored, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model | None, least: float = LEAST_SCORE) -> DataFrame:
-    """``docs`` without the rows predicted ``und`` or with a score below ``least``; all columns kept.
+def identified(texts: list[str | None], model: Model | None, least: float = LEAST_EVIDENCE) -> list[bool]:
+    """Whether each text has a letter and at least ``least`` evidence for one of the model's languages."""
+    keep = [False] * len(texts)
+    able = [i for i, t in enumerate(texts) if model is not None and t and _LETTER.search(t)]
+    for i in range(0, len(able), _BATCH):
+        part = able[i : i + _BATCH]
+        chosen = [texts[j] for j in part]
+        for j, evidence in zip(part, model.evidence(chosen, model.scores(chosen))):
+            keep[j] = bool(evidence >= least)
+    return keep
+
+
+def keep_identified(docs: DataFrame, model: Model | None, least: float = LEAST_EVIDENCE) -> DataFrame:
+    """``docs`` without the rows predicted ``und`` or with less evidence than ``least``; all columns kept.
 
     Whole rows pass through the tasks that score them, so no join is needed.
     """
     at = docs.columns.index("text")
 
-    def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = _predictions(batch.column(at).to_pylist(), model)
-            keep = [name != UNDETERMINED and score >= least for name, score in zip(names, scores)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            yield batch.filter(pa.array(identified(batch.column(at).to_pylist(), model, least), pa.bool_()))
 
-    return docs.mapInArrow(identified, docs.schema)
+    return docs.mapInArrow(kept, docs.schema)
