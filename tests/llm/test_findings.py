@@ -6,6 +6,7 @@ import random
 import pyarrow.parquet as pq
 import pytest
 
+from trafficlake.llm.html_text import main_text
 from trafficlake.llm.language_id import Model, identified
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -52,3 +53,22 @@ def test_language_rejects_what_it_never_learned(speaker):
     coded = [base64.b64encode(rng.randbytes(n)).decode() for n in (60, 200, 5000)]
     assert identified(UNLEARNED + letters + coded, speaker) == [False] * 12
     assert identified(CLEAN + ["", None, "12 !"], speaker) == [True] * len(CLEAN) + [False] * 3
+
+
+STORY = [f"Paragraph {i} of the story has a good many words, enough of them to look like the text of an article does." for i in range(8)]
+PARAGRAPHS = "".join(f"<p>{p}</p>" for p in STORY)
+LINKS = "<ul>" + "".join(f'<li><a href="/{i}">Source number {i}</a></li>' for i in range(5)) + "</ul>"
+SOURCES = [f"Source number {i}" for i in range(5)]
+
+
+@pytest.mark.parametrize("name", ["cards", "trending", "widget"])
+def test_html_story_outside_the_marked_articles(name):
+    teasers = f'<div class="{name}">' + "<article><h3>Card</h3><p>A few words on another story.</p></article>" * 4 + "</div>"
+    page = f"<html><body><nav>Menu</nav><div>{PARAGRAPHS}</div>{teasers}<footer>Foot</footer></body></html>"
+    assert main_text(page) == "\n".join(STORY)
+
+
+def test_html_article_keeps_out_what_is_less_dense():
+    page = f"<body><div>Free delivery on all orders over fifty.</div><article>{PARAGRAPHS}</article><div>All rights reserved.</div></body>"
+    assert main_text(page) == "\n".join(STORY)
+    assert main_text("<body><div>All rights reserved by the owner.</div><article><p>Short.</p></article></body>") == "Short."
