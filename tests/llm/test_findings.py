@@ -72,3 +72,24 @@ def test_html_article_keeps_out_what_is_less_dense():
     page = f"<body><div>Free delivery on all orders over fifty.</div><article>{PARAGRAPHS}</article><div>All rights reserved.</div></body>"
     assert main_text(page) == "\n".join(STORY)
     assert main_text("<body><div>All rights reserved by the owner.</div><article><p>Short.</p></article></body>") == "Short."
+
+
+@pytest.mark.parametrize(
+    "opening, closing",
+    [
+        ('<div class="content-sidebar-wrap"><main>', "</main></div>"),
+        ('<article class="post comments-open">', "</article>"),
+        ('<div class="elementor-widget-container">', "</div>"),
+        ('<div class="content-sidebar-wrap"><div id="related">', "</div></div>"),
+        ('<div class="post comments-closed">', "</div>"),
+    ],
+)
+def test_html_class_words_only_reduce(opening, closing):
+    assert main_text(f"<body>{opening}{PARAGRAPHS}{closing}</body>") == "\n".join(STORY)
+
+
+def test_html_class_words_still_count():
+    extra = '<div class="sidebar"><p>A few words beside the story.</p></div><div id="commentList">' + PARAGRAPHS + "</div>"
+    for name in ("div", "article"):
+        page = f"<body><{name}>{PARAGRAPHS}{extra}</{name}>{extra}</body>"
+        assert main_text(page) == "\n".join(STORY)
