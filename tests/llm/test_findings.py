@@ -93,3 +93,13 @@ def test_html_class_words_still_count():
     for name in ("div", "article"):
         page = f"<body><{name}>{PARAGRAPHS}{extra}</{name}>{extra}</body>"
         assert main_text(page) == "\n".join(STORY)
+
+
+@pytest.mark.parametrize("name", ["article", "div"])
+def test_html_list_of_links_in_mid_article(name):
+    page = f"<body><nav>{LINKS}</nav><{name}>{PARAGRAPHS}{LINKS}{PARAGRAPHS}</{name}><footer>{LINKS}</footer></body>"
+    assert main_text(page) == "\n".join(STORY + SOURCES + STORY)
+
+
+def test_html_list_of_links_at_the_end():
+    assert main_text(f"<body><article>{PARAGRAPHS}{LINKS}</article>{LINKS}</body>") == "\n".join(STORY + SOURCES)
