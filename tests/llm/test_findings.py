@@ -6,8 +6,10 @@ import random
 import pyarrow.parquet as pq
 import pytest
 
+from trafficlake.llm.doc_fingerprints import fingerprints
 from trafficlake.llm.html_text import main_text
 from trafficlake.llm.language_id import Model, identified
+from trafficlake.llm.prefix_hash import PrefixHash, likeness
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -103,3 +105,31 @@ def test_html_list_of_links_in_mid_article(name):
 
 def test_html_list_of_links_at_the_end():
     assert main_text(f"<body><article>{PARAGRAPHS}{LINKS}</article>{LINKS}</body>") == "\n".join(STORY + SOURCES)
+
+
+def _edited_copies():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(500)]
+    text = " ".join(rng.choices(words, k=2000))
+    pieces = [text[i : i + 1000] for i in range(0, len(text), 1000)]
+    other = " ".join("".join(rng.choices("qrstuvwxyz", k=5)) for _ in range(2000))
+    return text, "One line more.\n" + text + "\nAnd one at the end.", " inserted ".join(pieces), "x" + "".join(p[5:] for p in pieces), other
+
+
+def test_fingerprints_see_shifted_text():
+    text, *copies, other = _edited_copies()
+    whole = PrefixHash(text)
+    for copy in copies:
+        assert 0.95 < whole.shared(PrefixHash(copy)) < 1 and 0.95 < PrefixHash(copy).shared(whole) < 1
+        assert 0.7 < likeness(whole.fingerprint(), PrefixHash(copy).fingerprint()) < 1
+    assert whole.shared(PrefixHash(other)) < 0.01 and likeness(whole.fingerprint(), PrefixHash(other).fingerprint()) < 0.01
+    assert whole.shared(PrefixHash(text + text)) == pytest.approx(0.5) and whole.shared(PrefixHash("")) == 0
+    assert PrefixHash("").shared(PrefixHash("")) == whole.shared(PrefixHash(text)) == 1
+    assert PrefixHash("ab").shared(PrefixHash("xab")) == pytest.approx(2 / 3)
+
+
+def test_fingerprint_query_sees_shifted_text(spark):
+    text, *copies, other = _edited_copies()
+    rows = [(9, other), (8, text), (7, copies[0]), (6, text), (5, copies[1])]
+    near = {r["doc_id"]: r["near_next"] for r in fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(0.95 < near[i] < 1 for i in (8, 7, 6)) and near[9] < 0.01

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trafficlake.llm.prefix_hash import PrefixHash, likeness
+from trafficlake.llm.prefix_hash import PrefixHash
 
 #: Ranges of doc_id at most; each is one task's texts.
 MAX_RANGES = 1 << 16
@@ -61,14 +61,16 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for place, guest, doc_id, value in zip(*(c.to_pylist() for c in batch.columns)):
             if guest and (before is None or before[0] != place):
                 continue  # a further row with the head's doc_id
-            now = (place, doc_id, value, PrefixHash(value).fingerprint())
+            hashed = PrefixHash(value)
+            now = (place, doc_id, value, hashed, hashed.fingerprint())
             if before is not None and before[0] == place:
-                _, own_id, text, own = before
+                _, own_id, text, mine, own = before
                 half = len(text) // 2
                 edited = text[: len(text) - half] + value[:half]
-                changed = PrefixHash(edited).fingerprint()
+                changed = PrefixHash(edited)
                 digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-                out.append((own_id, len(text), digest, own, changed, likeness(own, changed), likeness(own, now[3])))
+                near = mine.shared(changed), mine.shared(hashed)
+                out.append((own_id, len(text), digest, own, changed.fingerprint(), *near))
             before = None if guest else now
         columns = zip(*out) if out else [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
@@ -80,7 +82,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The next document is the one with the next smaller doc_id, missing ids last, rows with equal ids in order
     of their texts, and after the last comes the first; a lone document is its own next. The edited text has
-    the next text's beginning in place of its own second half. A null text counts as empty. No rows give no
+    the next text's beginning in place of its own second half. near_edited and near_next are the shares of the
+    longer text that the document has in common with the edited and the next one, shifted or not. A null text counts as empty. No rows give no
     rows.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

@@ -2,9 +2,11 @@
 
 A text's prefix array holds, for every length, the polynomial hash of its first so many code points modulo a
 prime. Any two spans are compared by two subtractions and two products; the longest common extension of two
-places is found by binary search. A fingerprint keeps the hashes of a few prefixes and suffixes, at lengths
-that grow by a fixed ratio, so that two fingerprints tell which stretches of their texts agree when laid
-together at the start, and at the end.
+places is found by binary search. Where two texts meet, ``shared`` extends every span that both have, from
+anchors chosen by content, so that insertions shift nothing out of sight. A fingerprint keeps the hashes of a
+few prefixes and suffixes, at lengths that grow by a fixed ratio, so that two fingerprints tell which
+stretches of their texts agree when laid together at the start, and at the end; and the smallest hashes of
+spans of ``SPAN`` code points wherever they stand, which tell how many of those are common.
 """
 
 import numpy as np
@@ -17,6 +19,9 @@ BASES = (1103515245, 1812433253)
 FIRST, STEPS = 2, 8
 GRID = np.unique(np.round(FIRST * 2 ** (np.arange(0, 28 * STEPS) / STEPS)).astype(np.int64))
 
+#: Length of an anchor's span; one place in so many is an anchor; spans in a fingerprint.
+SPAN, ANCHOR_PART, SKETCH = 32, 16, 64
+
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -36,6 +41,7 @@ class PrefixHash:
     def __init__(self, text: str):
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
         self.n = len(codes)
+        self._spans: np.ndarray | None = None
         self.prefix = []
         for prime, base in zip(PRIMES, BASES):
             sums = np.zeros(self.n + 1, np.uint64)
@@ -63,8 +69,60 @@ class PrefixHash:
             low, high = (middle, high) if self.same(start, other, other_start, middle) else (low, middle - 1)
         return low
 
+    def common_before(self, end: int, other: "PrefixHash", other_end: int) -> int:
+        """How many code points agree up to ``end`` here and ``other_end`` there."""
+        low, high = 0, min(end, other_end)
+        while low < high:
+            middle = (low + high + 1) // 2
+            agree = self.same(end - middle, other, other_end - middle, middle)
+            low, high = (middle, high) if agree else (low, middle - 1)
+        return low
+
+    def spans(self) -> np.ndarray:
+        """A 32-bit number for the ``SPAN`` code points from each place; equal spans have equal ones."""
+        if self._spans is None:
+            count = max(0, self.n - SPAN + 1)
+            prime, sums = np.uint64(PRIMES[0]), self.prefix[0]
+            back = powers(pow(BASES[0], -1, PRIMES[0]), PRIMES[0], self.n + 1)[:count]
+            hashes = (sums[SPAN:] + prime - sums[:count]) % prime * back % prime if count else np.zeros(0, np.uint64)
+            self._spans = (hashes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
+        return self._spans
+
+    def shared(self, other: "PrefixHash") -> float:
+        """The share, from 0 to 1, of the longer text in spans that the other text has too, wherever they stand.
+
+        Spans are the longest extensions of the two starts, the two ends and the common anchors, on the last
+        span's diagonal if it goes on there. Each text's code points count once; the smaller sum is taken. 1
+        for equal texts only.
+        """
+        if self.n == other.n and self.same(0, other, 0, self.n):
+            return 1.0
+        if not self.n or not other.n:
+            return 0.0
+        head, tail = self.common(0, other, 0), self.common_before(self.n, other, other.n)
+        found = [(0, 0, head), (self.n - tail, other.n - tail, tail)]
+        mine, theirs = (np.flatnonzero(x.spans() < (1 << 32) // ANCHOR_PART) for x in (self, other))
+        values, first = np.unique(other.spans()[theirs], return_index=True)
+        if len(values) and len(mine):
+            at = np.minimum(np.searchsorted(values, self.spans()[mine]), len(values) - 1)
+            both = values[at] == self.spans()[mine]
+            reached, shift = head, 0
+            for i, j in zip(mine[both].tolist(), theirs[first[at[both]]].tolist()):
+                if i < reached or i >= self.n - tail:
+                    continue
+                if i + shift >= 0 and self.same(i, other, i + shift, SPAN):
+                    j = i + shift
+                elif not self.same(i, other, j, SPAN):
+                    continue
+                before, ahead = self.common_before(i, other, j), self.common(i, other, j)
+                found.append((i - before, j - before, before + ahead))
+                reached, shift = i + ahead, j - i
+        covered = min(_length([(a, a + n) for a, _, n in found]), _length([(b, b + n) for _, b, n in found]))
+        return float(min(covered / max(self.n, other.n), 1 - 1e-9))
+
     def fingerprint(self) -> str:
-        """Length, hash of the whole, prefix hashes and suffix hashes at the grid's lengths below it."""
+        """Length, hash of the whole, prefix hashes and suffix hashes at the grid's lengths below it, and the
+        smallest numbers of spans."""
         prime, base = PRIMES[0], BASES[0]
         lengths = GRID[: np.searchsorted(GRID, self.n)]
         sums = self.prefix[0]
@@ -74,11 +132,35 @@ class PrefixHash:
         tails = (sums[self.n] + np.uint64(prime) - sums[self.n - lengths]) % np.uint64(prime) * back % np.uint64(prime)
         whole = int(sums[self.n]) << 31 | int(self.prefix[1][self.n])
         octets = np.concatenate([heads, tails]).astype(">u4").tobytes().hex()
-        return f"{self.n:x}.{whole:016x}.{octets}"
+        numbers = self.spans()
+        if len(numbers) > 64 * SKETCH:  # most are far above the smallest
+            few = numbers[numbers < (1 << 32) // (len(numbers) // (8 * SKETCH))]
+            numbers = few if len(np.unique(few)) >= SKETCH else numbers
+        sketch = np.unique(numbers)[:SKETCH].astype(">u4").tobytes().hex()
+        return f"{self.n:x}.{whole:016x}.{octets}.{sketch}"
+
+
+def _length(spans: list[tuple[int, int]]) -> int:
+    """How many places the spans cover."""
+    covered, reached = 0, 0
+    for start, end in sorted(spans):
+        covered += max(0, end - max(start, reached))
+        reached = max(reached, end)
+    return covered
+
+
+def _sketched(a: str, b: str) -> float:
+    """The share of the longer text that is in common spans, as the smallest numbers of spans tell."""
+    (n, x), (m, y) = ((int(f.split(".")[0], 16), np.frombuffer(bytes.fromhex(f.split(".")[3]), ">u4")) for f in (a, b))
+    if not len(x) or not len(y):
+        return 0.0
+    smallest = np.union1d(x, y)[:SKETCH]
+    alike = np.count_nonzero(np.isin(smallest, x) & np.isin(smallest, y)) / len(smallest)
+    return min(alike / (1 + alike) * (n + m), n, m) / max(n, m)
 
 
 def _read(fingerprint: str) -> tuple[int, np.ndarray, np.ndarray, int]:
-    n, whole, octets = fingerprint.split(".")
+    n, whole, octets, _ = fingerprint.split(".")
     values = np.frombuffer(bytes.fromhex(octets), ">u4").astype(np.int64)
     return int(n, 16), values[: len(values) // 2], values[len(values) // 2 :], int(whole, 16) >> 31
 
@@ -87,7 +169,7 @@ def likeness(a: str, b: str) -> float:
     """The share, from 0 to 1, of the longer text that agrees with the other one, as two fingerprints tell.
 
     A stretch between two lengths of the grid agrees if its hashes do, counted from the start or from the
-    end. 1 for equal fingerprints only, and for two empty texts.
+    end; if the common spans tell of more, that counts. 1 for equal fingerprints only, and for two empty texts.
     """
     if a == b:
         return 1.0
@@ -106,8 +188,5 @@ def likeness(a: str, b: str) -> float:
         spans.append((edges[-1], n))
     least = min(n, m)
     spans += [(least - edges[i + 1], least - edges[i]) for i in np.flatnonzero(behind)]
-    covered, reached = 0, 0
-    for start, end in sorted(spans):
-        covered += max(0, end - max(start, reached))
-        reached = max(reached, end)
-    return float(min(covered / max(n, m), 1 - 1e-9))
+    share = max(_length(spans) / max(n, m), _sketched(a, b))
+    return float(min(share, 1 - 1e-9))
