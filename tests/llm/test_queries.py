@@ -39,11 +39,11 @@ def rows_of(spark, name):
 
 
 def test_all_are_registered():
-    assert list(OPS) == [f"op{n}" for n in range(1, 11)]
+    assert list(OPS) == [f"op{n}" for n in range(1, 14)]
     assert "pipeline" in contract.queries()
 
 
-@pytest.mark.parametrize("name", ["op1", "op3", "op6", "op10"])
+@pytest.mark.parametrize("name", ["op1", "op3", "op6", "op10", "op11", "op12"])
 def test_sql(spark, duck, name):
     result = contract.queries()[OPS[name]](spark, SF_DIR)
     expected = duck.execute(contract.oracle_sql()[OPS[name]])

@@ -96,4 +96,68 @@ FROM placed p JOIN own ON p.conv_id IS NOT DISTINCT FROM own.conv_id
 GROUP BY p.conv_id
 """
 
-ORACLES = {"op1_exact_dedup": _OP1, "op3_lm_scoring": _OP3, "op6_source_mixing": _OP6, "op10_chat_formatting": _OP10}
+_OP11 = r"""
+WITH document_terms AS (
+  SELECT doc, doc_id, unnest(terms) AS term FROM (
+    SELECT row_number() OVER () AS doc, doc_id,
+      regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents)),
+postings AS MATERIALIZED (
+  SELECT doc, doc_id, term, count(*) AS tf, sum(count(*)) OVER (PARTITION BY doc)::BIGINT AS n
+  FROM document_terms GROUP BY doc, doc_id, term),
+sizes AS (SELECT count(DISTINCT doc) AS docs, sum(tf)::BIGINT AS terms FROM postings),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, sizes GROUP BY term),
+item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM item_terms JOIN postings USING (term) JOIN weights USING (term), sizes GROUP BY item_id, doc, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+def _op12(clusters: int = 8, rounds: int = 10) -> str:
+    """Rounds written out one after the other."""
+    parts = [
+        f"""kept AS (
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = 64),
+parts AS MATERIALIZED (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM kept),
+first AS (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS k, v FROM kept WHERE vec_id IS NOT NULL
+  QUALIFY k < {clusters}),
+c0 AS MATERIALIZED (SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM first)"""
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT r, k, sum((parts.x - c.x) * (parts.x - c.x))::BIGINT AS d FROM parts JOIN c{i} c USING (p) GROUP BY r, k
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""s{i} AS (SELECT k, p, sum(x)::BIGINT AS s, count(*) AS n FROM parts JOIN a{i} USING (r) GROUP BY k, p),
+c{i + 1} AS MATERIALIZED (
+  SELECT k, p, coalesce((s - ((s % n) + n) % n) // n, c.x) AS x FROM c{i} c LEFT JOIN s{i} USING (k, p))"""
+            )
+    parts.append(
+        f"""digests AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p)) AS digest FROM c{rounds} GROUP BY k)"""
+    )
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance, sum(d) OVER (PARTITION BY k)::BIGINT AS cluster_inertia,
+  sum(d) OVER ()::BIGINT AS inertia, digest AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN digests USING (k)"""
+
+
+ORACLES = {
+    "op1_exact_dedup": _OP1,
+    "op3_lm_scoring": _OP3,
+    "op6_source_mixing": _OP6,
+    "op10_chat_formatting": _OP10,
+    "op11_lexical_search": _OP11,
+    "op12_centroid_clustering": _op12(),
+}

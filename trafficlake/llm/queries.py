@@ -4,19 +4,22 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.functions import lit
+from pyspark.sql.functions import col, lit
 from pyspark.sql.functions import round as round_
 
+from trafficlake.llm.centroid_clustering import cluster, described
 from trafficlake.llm.chat import digests, format_conversations
 from trafficlake.llm.common import table
 from trafficlake.llm.doc_fingerprints import fingerprints
 from trafficlake.llm.exact_dedup import exact_duplicates
 from trafficlake.llm.html_text import extract_text
 from trafficlake.llm.language_id import fit, predict
+from trafficlake.llm.lexical_search import build_index, search
 from trafficlake.llm.lm_scoring import score_documents
 from trafficlake.llm.mixing import mix_plan
 from trafficlake.llm.near_dedup import near_duplicates
 from trafficlake.llm.packing import pack
+from trafficlake.llm.token_counts import LIMIT, count_tokens
 from trafficlake.llm.toxicity import score_toxicity
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -85,6 +88,19 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_conversations(turns.union(hostile)))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return described(cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_tokens(table(spark, sf_dir, "documents"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (col("n_tokens") > LIMIT).alias("over_limit"))
+
+
 QUERIES = {
     f.__name__: _importable(f)
     for f in (
@@ -98,5 +114,8 @@ QUERIES = {
         op8_toxicity,
         op9_best_fit_packing,
         op10_chat_formatting,
+        op11_lexical_search,
+        op12_centroid_clustering,
+        op13_token_counts,
     )
 }
