@@ -86,6 +86,23 @@ class Alphabet:
         return {"letters": self.letters, "_table": None}
 
 
+class _Slots:
+    """Where an n-gram stands among the known ones; a page of 256 numbers for each beginning that occurs, and one page
+    for all others."""
+
+    def __init__(self, known: np.ndarray):
+        self.none = len(known)
+        first = known >> np.uint32(8)
+        used = np.unique(first)
+        self._page = np.zeros(((2 << 24) >> 8) + 1, np.int32)
+        self._page[used] = np.arange(1, len(used) + 1) << 8
+        self._slot = np.full((len(used) + 1) << 8, self.none, np.int32)
+        self._slot[self._page[first] + (known & np.uint32(255)).astype(np.int32)] = np.arange(len(known))
+
+    def __getitem__(self, grams: np.ndarray) -> np.ndarray:
+        return self._slot[self._page[grams >> np.uint32(8)] + (grams & np.uint32(255)).astype(np.int32)]
+
+
 class Model:
     """One weight for each n-gram and language, from Nyström features and ridge regressions."""
 
@@ -93,8 +110,12 @@ class Model:
         self.languages = sorted(set(labels))
         self.alphabet = Alphabet(texts)
         self.known = np.unique(np.concatenate([self.alphabet.grams(texts[i]) for i in landmarks]))
-        self._slots: np.ndarray | None = None
-        presence = np.concatenate([self.presence(texts[i : i + _BATCH]) for i in range(0, len(texts), _BATCH)])
+        self.slots = _Slots(self.known)
+        chosen, found = set(landmarks), []
+        for i, text in enumerate(texts):
+            slots, longest = self.found(text)
+            found.append((np.unique(slots), longest if i in chosen else longest[:0]))
+        presence = self.presence(found)
         norms = np.sqrt(np.maximum(presence.sum(axis=1), 1))
         marks = presence[landmarks] / norms[landmarks, None]
         kernel = (presence @ marks.T) / norms[:, None]
@@ -111,31 +132,28 @@ class Model:
         self.bias = weights[-1].astype(np.float32)
         # The share of a landmark's longest n-grams that other landmarks have: what a text of a learned language shows.
         shared = np.append(presence[landmarks].sum(axis=0) > 1, False)
-        shares = [shared[slots].mean() for i in landmarks if len(slots := self._longest(texts[i]))]
+        shares = [shared[slots].mean() for i in landmarks if len(slots := found[i][1])]
         self.usual = float(np.median(shares)) if shares else 0.0
 
-    def presence(self, texts: list[str]) -> np.ndarray:
+    def found(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Slots of a text's n-grams, one a place, and those of its longest n-grams that have a letter."""
+        grams = self.alphabet.grams(text)
+        slots = self.slots[grams]
+        return slots, slots[grams > _OFFSETS[max(ORDERS)]]
+
+    def presence(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """One row for each text, 1 for each known n-gram that it has anywhere."""
-        if self._slots is None:
-            kind = np.int16 if len(self.known) < 1 << 15 else np.int32
-            self._slots = np.full(2 << 24, len(self.known), kind)
-            self._slots[self.known] = np.arange(len(self.known))
-        rows = np.zeros((len(texts), len(self.known) + 1), np.float32)
-        for row, text in zip(rows, texts):
-            row[self._slots[self.alphabet.grams(text)]] = 1
+        rows = np.zeros((len(found), len(self.known) + 1), np.float32)
+        for row, (slots, _) in zip(rows, found):
+            row[slots] = 1
         return rows[:, :-1]
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        presence = self.presence(texts)
+    def scores(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        presence = self.presence(found)
         norms = np.sqrt(np.maximum(presence.sum(axis=1), 1))
         return (presence @ self.weights) / norms[:, None] + self.bias
 
-    def _longest(self, text: str) -> np.ndarray:
-        """Slots of the text's longest n-grams that have a letter, one for each place."""
-        grams = self.alphabet.grams(text)
-        return self._slots[grams[grams > _OFFSETS[max(ORDERS)]]]
-
-    def evidence(self, texts: list[str], margins: np.ndarray) -> np.ndarray:
+    def evidence(self, found: list[tuple[np.ndarray, np.ndarray]], margins: np.ndarray) -> np.ndarray:
         """How much speaks for the best language of each text: the share of its longest n-grams that the landmarks
         know, over the usual share, its lead over the second language, and the slack of short texts.
 
@@ -143,17 +161,13 @@ class Model:
         such n-gram, or the landmarks none in common, there is nothing to go by, and the evidence is infinite.
         """
         ranked = np.sort(margins, axis=1)
-        lead = (ranked[:, -1] - ranked[:, -2]) / 2 if len(self.languages) > 1 else np.full(len(texts), LONE_LEAD)
-        found = np.full(len(texts), np.inf)
-        for i, text in enumerate(texts):
-            slots = self._longest(text)
+        lead = (ranked[:, -1] - ranked[:, -2]) / 2 if len(self.languages) > 1 else np.full(len(found), LONE_LEAD)
+        evidence = np.full(len(found), np.inf)
+        for i, (_, slots) in enumerate(found):
             if len(slots) and self.usual:
-                share = np.count_nonzero(slots != len(self.known)) / len(slots)
-                found[i] = share / self.usual + lead[i] + SLACK / np.sqrt(len(slots))
-        return found
-
-    def __getstate__(self):
-        return self.__dict__ | {"_slots": None}
+                share = np.count_nonzero(slots != self.slots.none) / len(slots)
+                evidence[i] = share / self.usual + lead[i] + SLACK / np.sqrt(len(slots))
+        return evidence
 
 
 def fit(docs: DataFrame, most: int = TRAIN_PER_LANGUAGE, landmarks: int = LANDMARKS_PER_LANGUAGE) -> Model | None:
@@ -176,18 +190,27 @@ def fit(docs: DataFrame, most: int = TRAIN_PER_LANGUAGE, landmarks: int = LANDMA
     return Model([text for _, _, text in sample], languages, picked)
 
 
+def _able(texts: list[str | None], model: Model | None) -> list[int]:
+    return [i for i, t in enumerate(texts) if model is not None and t and _LETTER.search(t)]
+
+
 def _predictions(texts: list[str | None], model: Model | None) -> tuple[list[str], np.ndarray]:
     names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-    able = [i for i, t in enumerate(texts) if model is not None and t and _LETTER.search(t)]
-    for i in range(0, len(able), _BATCH):
-        part = able[i : i + _BATCH]
-        margins = model.scores([texts[j] for j in part])
-        scores[part] = np.clip((margins.max(axis=1) + 1) / 2, 0, 1)
-        for j, best in zip(part, margins.argmax(axis=1)):
-            names[j] = model.languages[best]
+    if able := _able(texts, model):
+        margins = model.scores([model.found(texts[i]) for i in able])
+        scores[able] = np.clip((margins.max(axis=1) + 1) / 2, 0, 1)
+        for i, best in zip(able, margins.argmax(axis=1)):
+            names[i] = model.languages[best]
     return names, scores
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches: of so many texts at a time there are Python strings and presence rows."""
+    for batch in batches:
+        for at in range(0, len(batch), _BATCH):
+            yield batch.slice(at, _BATCH)
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for each row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -197,10 +220,10 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, scores = _predictions(batch.column(2).to_pylist(), model)
+        for part in _parts(batches):
+            names, scores = _predictions(part.column(2).to_pylist(), model)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                [*part.columns[:2], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"],
             )
 
@@ -215,12 +238,10 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 def identified(texts: list[str | None], model: Model | None, least: float = LEAST_EVIDENCE) -> list[bool]:
     """Whether each text has a letter and at least ``least`` evidence for one of the model's languages."""
     keep = [False] * len(texts)
-    able = [i for i, t in enumerate(texts) if model is not None and t and _LETTER.search(t)]
-    for i in range(0, len(able), _BATCH):
-        part = able[i : i + _BATCH]
-        chosen = [texts[j] for j in part]
-        for j, evidence in zip(part, model.evidence(chosen, model.scores(chosen))):
-            keep[j] = bool(evidence >= least)
+    if able := _able(texts, model):
+        found = [model.found(texts[i]) for i in able]
+        for i, evidence in zip(able, model.evidence(found, model.scores(found))):
+            keep[i] = bool(evidence >= least)
     return keep
 
 
@@ -232,7 +253,7 @@ def keep_identified(docs: DataFrame, model: Model | None, least: float = LEAST_E
     at = docs.columns.index("text")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(identified(batch.column(at).to_pylist(), model, least), pa.bool_()))
+        for part in _parts(batches):
+            yield part.filter(pa.array(identified(part.column(at).to_pylist(), model, least), pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
