@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from trafficlake.session import scratch_dir
 
 #: Bytes of text in a shard, about.
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 8_000_000
 #: A list is short if it has at most one in so many of the shard's documents.
 SHORT_SHARE = 16
 #: Documents looked at together.
