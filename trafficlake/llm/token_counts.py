@@ -85,10 +85,6 @@ class PrefixCounter:
         self._steps: dict[str, bytes | tuple[int, ...]] = {}
         self._older: dict[str, bytes | tuple[int, ...]] = {}
 
-    def forget(self) -> None:
-        """Drop what was kept of words. Pairs of tokens stay, up to their limit."""
-        self._steps, self._older = {}, {}
-
     def _merged(self, octets: bytes) -> list[int]:
         """Tokens of some bytes by their merges, in order of rank, from the left."""
         ids = [self._bytes[b] for b in octets]
@@ -257,7 +253,6 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 totals.append(int(steps.sum(dtype=np.int64)))
             columns = [batch.column(0), sizes, pa.array(totals, pa.int64()), pa.array(stored, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens", "prefixes"])
-        counter.forget()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(counted, "doc_id bigint, n_bytes bigint, n_tokens bigint, prefixes binary")
