@@ -1,8 +1,10 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from trafficlake.fixtures import traffic_from_events
-from trafficlake.operators.quality import clean, dedup, quality_report, survivors, tally, tally_report
+from trafficlake.operators.quality import clean, dedup, observed_survivors, quality_report, survivors, tally, tally_report
+from trafficlake.schema import EVENT_COLUMNS
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -79,3 +81,46 @@ def test_hot_key_collapses_before_the_shuffle(spark, event, plan):
 def test_quality_report_reads_no_payload(spark, plan):
     text = plan(quality_report(traffic_from_events(spark, SMALL)))
     assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+def test_rejected_rows_leave_before_the_shuffle(spark, event, plan):
+    """The range is checked below the exchange: rows that fail go through it as one row a task."""
+    rejected = event({"average_speed": -1}).crossJoin(spark.range(20_000, numPartitions=4)).drop("id")
+    rejected = rejected.withColumn("timestamp", F.concat("timestamp", F.monotonically_increasing_id().cast("string")))
+    df = rejected.unionByName(event({}, {"sensor_id": 2}, {"sensor_id": None, "timestamp": None}))
+    tallied = tally(df)
+    assert tuple(tally_report(tallied).first()) == (20_003, 0, 3, 3)
+    assert tallied.where("not kept").count() == 1 and survivors(tallied).count() == 3
+    text = plan(tallied)
+    below = text[text.index("Exchange") :]
+    assert "average_speed" in below and "partial_min" in below
+    tallied.collect()
+    assert 0 < _shuffled_rows(tallied) <= 3 + df.rdd.getNumPartitions()
+
+
+def _shuffled_rows(df):
+    """Rows that the exchanges of a plan wrote, by their own counters."""
+    rows, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if name == "ShuffleExchangeExec":
+                rows += node.metrics().apply("shuffleRecordsWritten").value()
+            children = node.children()
+            todo.extend(children.apply(i) for i in range(children.size()))
+    return rows
+
+
+def test_observed_counts(spark, event, tmp_path):
+    """What the writing stage observes is what the report says, also where nothing is left or there is nothing."""
+    cases = [event({}, {}, {"average_speed": -1}), event({"average_speed": -1}), event({}).limit(0)]
+    for i, df in enumerate(cases):
+        counts = Observation()
+        observed_survivors(tally(df), counts).write.parquet(f"{tmp_path}/{i}")
+        assert counts.get == tally_report(tally(df)).first().asDict()
+        assert spark.read.parquet(f"{tmp_path}/{i}").columns == EVENT_COLUMNS

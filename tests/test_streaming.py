@@ -2,12 +2,14 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from trafficlake.sinks.raw import write_raw
 from trafficlake.sources.codec import encode_events, storable_events
-from trafficlake.sources.raw import read_lake, read_raw
+from trafficlake.sources.raw import read_lake, read_raw, read_raw_days
 from trafficlake.sources.topic import read_file_stream, read_topic, topic_batching, topic_options
 from trafficlake.sinks.topic import topic_sink_options, write_topic
+from trafficlake.streaming import ingest
 from trafficlake.streaming.dedup import dedup_stream, late_events
 from trafficlake.streaming.ingest import ingest_stream, quarantine_stream
 
@@ -64,16 +66,101 @@ def test_restart_adds_only_new_messages(spark, feed):
     assert sorted(r.sensor_id for r in read_raw(spark, feed.out).collect()) == [1, 2]
 
 
-def test_uncommitted_files_are_not_read(spark, feed):
-    """What a failed attempt leaves behind is not in the stream's file log."""
+def _lake(spark, feed):
+    return sorted(map(str, read_lake(spark, feed.out).collect()))
+
+
+STEPS = ["remove", "_stage", "_commit", "write_text", "_deliver", "move", "names"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("after", [False, True])
+def test_killed_ingestion_resumes(spark, feed, tmp_path, monkeypatch, step, after):
+    """A query that dies before or after any step leaves what a restarted one completes: every message once."""
+    aside = str(tmp_path / "aside")
+    feed.send(*[_message(i, f"2026-01-{8 + i % 3:02d}T10:00:00+00:00") for i in range(9)], "{broken")
+    feed.send(_message(100, "2026-01-08T10:00:00+00:00"), _message(101, "soon"))
+    home = ingest._Sink if step.startswith("_") else ingest
+    plain, calls = getattr(home, step), []
+
+    def dies(*args):
+        calls.append(args)
+        if len(calls) == (2 if step == "move" else 1):
+            if after:
+                plain(*args)
+            raise RuntimeError("killed")
+        return plain(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(home, step, dies)
+        with pytest.raises(Exception, match="killed"):
+            feed.ingest(spark, quarantine=aside)
+    feed.ingest(spark, quarantine=aside)
+    assert sorted(r.sensor_id for r in read_lake(spark, feed.out).collect()) == [*range(9), 100]
+    assert sorted(r.reason for r in spark.read.json(aside).collect()) == ["bad timestamp", "undecodable"]
+    assert not list(Path(feed.out).glob("_staging/*"))
+
+
+def test_staged_files_are_not_read(spark, feed, monkeypatch):
     feed.send(_message(1, "2026-01-08T10:00:00+00:00"))
     feed.ingest(spark)
-    (folder,) = Path(feed.out).glob("year=*/month=*/day=*/zone_key=*")
-    (folder / "part-stray.json").write_text(_message(9, "2026-01-08T10:00:00+00:00") + "\n")
-    for reader in (read_raw, read_lake):
+    feed.send(_message(9, "2026-01-08T10:00:00+00:00"))
+
+    def dies(*args):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(ingest._Sink, "_commit", dies)
+    with pytest.raises(Exception, match="killed"):
+        feed.ingest(spark)
+    assert list(Path(feed.out).glob("_staging/*"))
+    for reader in (read_raw, read_lake, read_raw_days):
         assert [r.sensor_id for r in reader(spark, feed.out).collect()] == [1]
 
 
+def test_day_range_of_a_stream_lake_lists_its_days(spark, feed):
+    feed.send(*[_message(i, f"2026-01-{8 + i % 3:02d}T10:00:00+00:00") for i in range(9)])
+    feed.ingest(spark)
+    one = read_raw_days(spark, feed.out, "2026-01-09", "2026-01-09")
+    assert {r.day for r in one.collect()} == {"09"} and all("day=09" in f for f in one.inputFiles())
+
+
+def test_one_parse_for_lake_and_quarantine(spark, plan):
+    rows = ingest.sorted_messages(spark.createDataFrame([("{}",)], "value string"), True)
+    text = plan(rows.hint("rebalance", F.col("sink")))
+    assert text.count("from_json(") <= 2 and text.count("Generate") <= 2  # once in the tree, once in the details
+
+
+def test_small_directories_share_a_file_and_lists_are_purged(spark, feed, monkeypatch):
+    monkeypatch.setattr(ingest, "_KEPT_LISTS", 2)
+    for i in range(4):
+        feed.send(*[_message(j, "2026-01-08T10:00:00+00:00", f"Z{j % 3}") for j in range(60)])
+    feed.ingest(spark)
+    assert len(list(Path(feed.out).glob("year=*/month=*/day=*/zone_key=*/*.txt"))) == 4 * 3
+    assert len(list(Path(feed.checkpoint).glob("stored/*.json"))) == 2
+
+
+def test_two_streams_share_a_lake(spark, feed, tmp_path):
+    feed.send(_message(1, "2026-01-08T10:00:00+00:00"))
+    feed.ingest(spark)
+    feed.checkpoint = str(tmp_path / "other")
+    feed.ingest(spark)
+    assert [r.sensor_id for r in read_raw(spark, feed.out).collect()] == [1, 1]
+
+
+def test_logged_lakes_are_refused(spark, feed):
+    Path(feed.out, "_spark_metadata").mkdir(parents=True)
+    feed.send(_message(1, "2026-01-08T10:00:00+00:00"))
+    with pytest.raises(ValueError, match="file log"):
+        feed.ingest(spark)
+
+
+def test_special_characters_in_zones(spark, feed):
+    zones = ["A/B", "50%", "a=b", "é:ü", "x y", "%2F"]
+    feed.send(*[_message(i, "2026-01-08T10:00:00+00:00", z) for i, z in enumerate(zones)])
+    feed.ingest(spark)
+    assert sorted(r.zone_key for r in read_lake(spark, feed.out).collect()) == sorted(z.replace(" ", "_") for z in zones)
+
+
 def test_stream_equals_batch(spark, feed, tmp_path, event):
     events = event(*[{"sensor_id": s, "zone": z} for s in range(20) for z in ("A b", "C")])
     values = [r.value for r in encode_events(events).collect()]

@@ -5,6 +5,8 @@ pre-aggregated before any shuffle and rolled up again without changing the resul
 order; the views sort.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,18 +68,28 @@ def kpi_congestion(df: DataFrame) -> DataFrame:
     return _kpi(df, "kpi_congestion")
 
 
+def kpi_cube(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sums and counts for each combination of the four dimensions, and of ``by``; cubes of parts of the events add up
+    to the cube of all."""
+    return with_hour(df).groupBy(*by, *_DIMENSIONS.values()).agg(
+        F.count(F.lit(1)).alias("events"),
+        *[F.sum(r).alias(f"{r}_sum") for r in READINGS],
+        *[F.count(r).alias(f"{r}_n") for r in READINGS],
+    )
+
+
 def kpi_all(df: DataFrame) -> DataFrame:
     """All KPI tables in one pass over the events, as one long table.
 
     Events are first reduced to one row per combination of the four dimensions; the grouping
     sets, which copy each input row four times, then run on those few rows only.
     """
+    return kpi_rollup(kpi_cube(df))
+
+
+def kpi_rollup(cube: DataFrame) -> DataFrame:
+    """``kpi_all`` from one cube, or several in a row."""
     dimensions = list(_DIMENSIONS.values())
-    cube = with_hour(df).groupBy(*dimensions).agg(
-        F.count(F.lit(1)).alias("events"),
-        *[F.sum(r).alias(f"{r}_sum") for r in READINGS],
-        *[F.count(r).alias(f"{r}_n") for r in READINGS],
-    )
 
     def mean(reading: str) -> Column:
         return F.try_divide(F.sum(f"{reading}_sum").cast("double"), F.sum(f"{reading}_n"))

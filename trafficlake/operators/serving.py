@@ -110,9 +110,24 @@ def metric_datapoints(series: DataFrame) -> DataFrame:
     )
 
 
-def metric_catalogue(spark: SparkSession) -> DataFrame:
-    """Names of the metrics that can be asked for, whatever has been written."""
-    return spark.createDataFrame([(name,) for name in METRICS], "target string")
+def metric_catalogue(spark: SparkSession, base: str | None = None) -> DataFrame:
+    """Names of the metrics that can be asked for; with the folder of the KPI tables also ``n_points``, how many points
+    each of them has now."""
+    names = spark.createDataFrame([(name,) for name in METRICS], "target string")
+    if base is None:
+        return names
+    points = query_metrics(spark, base, METRICS).groupBy("target").agg(F.count(F.lit(1)).alias("n_points"))
+    # Both sides have one row a metric.
+    return names.join(F.broadcast(points), "target", "left").fillna(0, ["n_points"])
+
+
+def sample_order() -> list[str]:
+    """Columns by which events are first: time and sensor, then the rest."""
+    return ["timestamp", "sensor_id", *[c for c in SAMPLE_COLUMNS if c not in ("timestamp", "sensor_id")]]
+
+
+def sample_part() -> F.Column:
+    return F.pmod(F.xxhash64("timestamp", "sensor_id"), F.lit(_SAMPLE_TASKS))
 
 
 def sample_events(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
@@ -121,10 +136,9 @@ def sample_events(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
     Each task keeps its first ``n`` rows; hashed into ``_SAMPLE_TASKS`` parts these are cut to ``n`` again,
     so that the last task sees ``n`` rows from each of those only, however many tasks there were.
     """
-    order = ["timestamp", "sensor_id", *[c for c in SAMPLE_COLUMNS if c not in ("timestamp", "sensor_id")]]
+    order = sample_order()
     rows = df.select(*SAMPLE_COLUMNS)
-    part = F.pmod(F.xxhash64("timestamp", "sensor_id"), F.lit(_SAMPLE_TASKS))
     number = F.row_number().over(Window.partitionBy("part").orderBy(*order))
     # row_number limits are applied before the shuffle too.
-    first = rows.withColumn("part", part).withColumn("number", number).where(F.col("number") <= n)
+    first = rows.withColumn("part", sample_part()).withColumn("number", number).where(F.col("number") <= n)
     return first.select(*SAMPLE_COLUMNS).orderBy(*order).limit(n)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from trafficlake.paths import exists, overlap
 from trafficlake.schema import KPI_NAMES, PARTITION_KEYS, RETENTION_DAYS
 from trafficlake.sources.raw import day_folders
+from trafficlake.versions import current
 
 
 def _parquet_files(spark: SparkSession, folder: str) -> DataFrame | None:
@@ -23,7 +24,9 @@ def _parquet_files(spark: SparkSession, folder: str) -> DataFrame | None:
 
 
 def validate_outputs(spark: SparkSession, base: str) -> DataFrame:
-    """Parquet files per expected KPI folder; status is OK if every folder has some."""
+    """Parquet files per expected KPI folder, of the current version if versions are published; status is OK if every
+    folder has some."""
+    base = current(spark, base)
     expected = F.explode(F.array(*[F.lit(name) for name in KPI_NAMES]))
     counts = spark.range(1).select(expected.alias("folder"), F.lit(0).cast("bigint").alias("n_files"))
     for name in KPI_NAMES:

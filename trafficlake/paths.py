@@ -1,6 +1,7 @@
 """Folders compared and listed as Hadoop's file systems see them."""
 
 import re
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -77,3 +78,64 @@ def total_bytes(spark: SparkSession, pattern: str) -> int:
     system = _file_system(spark, pattern)
     found = system.globStatus(_path(spark, pattern)) or []
     return sum(system.getContentSummary(status.getPath()).getLength() for status in found)
+
+
+def files(spark: SparkSession, folder: str) -> list[str]:
+    """All files at any depth, by full name."""
+    found, listing = [], _file_system(spark, folder).listFiles(_path(spark, folder), True)
+    while listing.hasNext():
+        found.append(listing.next().getPath().toString())
+    return sorted(found)
+
+
+def qualified(spark: SparkSession, text: str) -> str:
+    return _file_system(spark, text).makeQualified(_path(spark, text)).toString()
+
+
+def same_file_system(spark: SparkSession, first: str, second: str) -> bool:
+    return _file_system(spark, first).getUri() == _file_system(spark, second).getUri()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder to a name that is free, below a folder that need not exist yet."""
+    system, goal = _file_system(spark, target), _path(spark, target)
+    system.mkdirs(goal.getParent())
+    if system.exists(goal) or not system.rename(_path(spark, source), goal):
+        raise FileExistsError(f"cannot move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written under a hidden name, then renamed."""
+    folder, _, name = path.rpartition("/")
+    hidden = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    stream = _file_system(spark, hidden).create(_path(spark, hidden))
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    move(spark, hidden, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    stream = _file_system(spark, path).open(_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if it doesn't exist."""
+    if not exists(spark, folder):
+        return []
+    return sorted(status.getPath().getName() for status in _file_system(spark, folder).listStatus(_path(spark, folder)))
+
+
+def stamp(spark: SparkSession, folder: str) -> str:
+    """A text that changes when files come to or leave the folder or a folder in it: number of files, bytes, and the
+    latest change of either. One summary and one listing, however many files there are."""
+    system = _file_system(spark, folder)
+    summary = system.getContentSummary(_path(spark, folder))
+    listed = [system.getFileStatus(_path(spark, folder)), *system.listStatus(_path(spark, folder))]
+    latest = max(status.getModificationTime() for status in listed)
+    return f"{summary.getFileCount()} files, {summary.getLength()} bytes, {latest}"

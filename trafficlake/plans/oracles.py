@@ -154,8 +154,7 @@ SELECT road_type, round_even(avg_speed, 2) AS avg_speed, total_events FROM kpi_r
     "view_trends": f"""WITH {_KPIS}
 SELECT hour, total_vehicles_counted AS total_vehicles,
        round_even(avg_vehicles_per_sensor, 2) AS avg_vehicles_per_sensor FROM kpi_hourly""",
-    "metric_catalogue": """SELECT target FROM (VALUES ('traffic.zones'), ('traffic.congestion'), ('traffic.speed'),
-  ('traffic.trends')) m(target) WHERE (SELECT count(*) FROM events) >= 0""",
+    "metric_catalogue": f"""WITH {_METRICS} SELECT target, count(*) AS n_points FROM points GROUP BY target""",
     "metric_series": f"WITH {_METRICS} SELECT * FROM series",
     "metric_datapoints": f"""WITH {_METRICS}
 SELECT request_pos, target, CAST(count(*) AS INTEGER) AS n_points,
@@ -197,6 +196,8 @@ FROM (VALUES ('kpi_road_type'), ('kpi_zone'), ('kpi_hourly'), ('kpi_congestion')
 SELECT {_EVENT}, {_KEYS} FROM traffic_raw WHERE substr("timestamp", 1, 10) < '2024-01-24'""",
 }
 
+ORACLES["batch_job_incremental"] = ORACLES["batch_job"]
+
 # The harder events: the same SQL over the other mapping.
 ORACLES |= {f"{name}_hard": ORACLES[name].replace(_RAW, _RAW_HARD) for name in HARD}
 
@@ -220,4 +221,32 @@ SELECT CAST(event_id % 50 AS BIGINT) AS lane, {_KEYS} FROM traffic_raw WHERE eve
     "batch_job_days": ORACLES["kpi_zone"].replace(
         "FROM events)", "FROM events WHERE CAST(ts AS DATE) BETWEEN '2024-01-10' AND '2024-01-16')"
     ),
+    "incremental_quality": f"""WITH {_RAW_HARD},
+lines AS (SELECT * FROM traffic_raw WHERE event_id % 50 <> 1),
+kept AS (SELECT * FROM lines WHERE average_speed >= 0 AND occupancy_rate BETWEEN 0 AND 100)
+SELECT (SELECT count(*) FROM events) AS rows_read, (SELECT count(*) FROM events WHERE event_id % 50 = 1) AS rows_unreadable,
+       (SELECT count(*) FROM kept) AS rows_in_range,
+       (SELECT count(*) FROM (SELECT DISTINCT sensor_id, "timestamp" FROM kept)) AS rows_unique""",
+    "kpi_versions": f"""WITH {_KPIS},
+half AS (SELECT * FROM (WITH {_KPIS.replace("FROM events)", "FROM events WHERE event_id % 2 = 0)")} SELECT * FROM kpi_zone))
+SELECT *, 1 AS version FROM half UNION ALL SELECT *, 2 FROM kpi_zone""",
+    "kpi_damaged_files": f"""WITH {_KPIS}
+SELECT zone, CAST(1 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_damaged FROM kpi_zone
+UNION ALL SELECT 'Broken', NULL, 2""",
+    "raw_extra_fields": f"""WITH {_RAW}
+SELECT {_EVENT}, CAST(CASE event_id % 10 WHEN 0 THEN 2 ELSE 0 END AS INTEGER) AS n_extra,
+       CASE event_id % 10 WHEN 0 THEN event_id END AS lane, CASE event_id % 10 WHEN 0 THEN 'gris' END AS sky,
+       CAST(CASE event_id % 10 WHEN 0 THEN 2.5 END AS DOUBLE) AS wind FROM traffic_raw WHERE event_id % 10 NOT IN (1, 2)
+UNION ALL
+SELECT NULL, NULL, '7', NULL, NULL, 40.5, NULL, NULL, 1, NULL, NULL, NULL FROM traffic_raw WHERE event_id % 10 = 1
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM traffic_raw WHERE event_id % 10 = 2""",
+    "stream_ingest_quarantine": f"""WITH {_RAW}
+SELECT sensor_id, "timestamp", {_KEYS}, NULL::VARCHAR AS value, NULL::VARCHAR AS reason
+FROM traffic_raw WHERE event_id % 50 NOT IN (0, 10, 20, 30, 40)
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, {_BROKEN},
+       CASE event_id % 50 WHEN 0 THEN 'undecodable' WHEN 10 THEN 'undecodable' WHEN 20 THEN 'missing timestamp'
+                          WHEN 30 THEN 'bad timestamp' ELSE 'missing zone' END
+FROM events WHERE event_id % 50 IN (0, 10, 20, 30, 40)""",
 }

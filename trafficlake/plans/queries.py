@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from trafficlake.fixtures import traffic_from_events, traffic_hard
 from trafficlake.operators import enrich as en
 from trafficlake.operators import kpis, quality, serving, upkeep
+from trafficlake.paths import write_text
 from trafficlake.plans.batch import run_batch, traffic_clean, write_kpis
+from trafficlake.plans.incremental import run_incremental
 from trafficlake.schema import (
     EVENT_COLUMNS,
     EVENT_SCHEMA,
@@ -25,7 +27,7 @@ from trafficlake.session import scratch_dir, use_utc
 from trafficlake.sinks.kpi import write_kpi, write_sample
 from trafficlake.sinks.raw import write_raw
 from trafficlake.sources import codec
-from trafficlake.sources.kpi import read_kpi
+from trafficlake.sources.kpi import check_files, read_kpi
 from trafficlake.sources.raw import read_lake, read_raw, read_raw_checked, read_raw_days
 from trafficlake.sources.topic import read_file_stream
 from trafficlake.streaming.dedup import dedup_stream
@@ -65,6 +67,7 @@ HARD = [
     "view_trends",
     "metric_series",
     "batch_job",
+    "batch_job_incremental",
     "kpi_zone_roundtrip",
 ]
 
@@ -202,7 +205,7 @@ def _kpi_base(spark: SparkSession, sf_dir: str, source: Source) -> str:
 
 @query
 def metric_catalogue(spark, sf_dir, source=traffic_from_events):
-    return serving.metric_catalogue(spark)
+    return serving.metric_catalogue(spark, _kpi_base(spark, sf_dir, source))
 
 
 @query
@@ -334,7 +337,11 @@ def batch_job(spark, sf_dir, source=traffic_from_events):
     scratch = scratch_dir(spark, "job")
     write_raw(source(spark, sf_dir), f"{scratch}/raw")
     run_batch(spark, f"{scratch}/raw", f"{scratch}/analytics", f"{scratch}/sample")
-    tables = {name: read_kpi(spark, f"{scratch}/analytics", name) for name in KPI_ROWS}
+    return _kpi_rows(spark, f"{scratch}/analytics")
+
+
+def _kpi_rows(spark: SparkSession, analytics: str) -> DataFrame:
+    tables = {name: read_kpi(spark, analytics, name) for name in KPI_ROWS}
     rows = [
         tables[name].select(
             F.lit(name).alias("kpi"),
@@ -347,6 +354,62 @@ def batch_job(spark, sf_dir, source=traffic_from_events):
     return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
 
 
+@query
+def batch_job_incremental(spark, sf_dir, source=traffic_from_events):
+    """KPI tables after a first run over most events and a second over the two days that got the rest; a third finds
+    nothing to do."""
+    scratch = scratch_dir(spark, "job")
+    places = [f"{scratch}/{name}" for name in ("raw", "partials", "analytics", "sample")]
+    keyed = en.with_partition_keys(source(spark, sf_dir, "event_id"))
+    late = F.concat_ws("-", "year", "month", "day").isin(*DAY_RANGE) & (F.col("event_id") % 3 > 0)
+    write_raw(keyed.where(~late), places[0])
+    run_incremental(spark, *places)
+    write_raw(keyed.where(late), places[0])
+    for days in (list(DAY_RANGE), []):
+        if run_incremental(spark, *places).days != days:
+            raise AssertionError(f"other days than {days} were read")
+    return _kpi_rows(spark, places[2])
+
+
+@query
+def incremental_quality(spark, sf_dir, source=traffic_hard):
+    """Stage counts added up over days, lines that cannot be read among them."""
+    scratch = scratch_dir(spark, "job")
+    keyed = en.with_partition_keys(source(spark, sf_dir, "event_id")).withColumn("value", _line_or_broken())
+    lines = keyed.select("value", *PARTITION_KEYS)
+    lines.write.partitionBy(*PARTITION_KEYS).text(f"{scratch}/raw")
+    return run_incremental(spark, *[f"{scratch}/{name}" for name in ("raw", "partials", "analytics", "sample")]).quality
+
+
+def _line_or_broken() -> F.Column:
+    event = F.to_json(F.struct(*codec.written_readings()))
+    return F.when(F.col("event_id") % 50 == 1, F.lit('{"sensor_id":1,')).otherwise(event)
+
+
+@query
+def kpi_versions(spark, sf_dir, source=traffic_from_events):
+    """Zones of two versions of the KPI tables: the first is read on after the second has replaced it."""
+    base = scratch_dir(spark, "versions")
+    events = source(spark, sf_dir, "event_id")
+    write_kpis(traffic_clean(events.where("event_id % 2 = 0")), base, f"{base}-staging", versions=True)
+    first = read_kpi(spark, base, "kpi_zone").withColumn("version", F.lit(1))
+    write_kpis(traffic_clean(events), base, f"{base}-staging", versions=True)
+    second = read_kpi(spark, base, "kpi_zone").withColumn("version", F.lit(2))
+    return first.unionByName(second)
+
+
+@query
+def kpi_damaged_files(spark, sf_dir, source=traffic_from_events):
+    """Rows and damaged files by directory of a KPI table to which two files that are no Parquet have been added."""
+    base = scratch_dir(spark, "kpi")
+    write_kpi(kpis.kpi_zone(_clean(spark, sf_dir, source)), base, "kpi_zone", ["zone"])
+    for name, content in (("part-1.parquet", "PAR1 cut off"), ("part-2.parquet", "no Parquet")):
+        write_text(spark, f"{base}/kpi_zone/zone=Broken/{name}", content)
+    zone = F.regexp_extract(F.url_decode(F.col("path")), "zone=([^/]*)/", 1).alias("zone")
+    damaged = F.count("error").alias("n_damaged")
+    return check_files(spark, base, "kpi_zone").groupBy(zone).agg(F.sum("n_rows").alias("n_rows"), damaged)
+
+
 @query
 def validate_outputs(spark, sf_dir, source=traffic_from_events):
     checked = upkeep.validate_outputs(spark, _kpi_base(spark, sf_dir, source))
@@ -385,6 +448,45 @@ def quality_mixed(spark, sf_dir, source=traffic_hard):
     return quality.quality_report(read_raw_checked(spark, folder))
 
 
+@query
+def raw_extra_fields(spark, sf_dir, source=traffic_from_events):
+    """Events with fields that the library does not know, read with the rest in one parse."""
+    folder = f"{scratch_dir(spark, 'extra')}/lines"
+    event = F.to_json(F.struct(*codec.written_readings()))
+    number, pick = F.col("event_id").cast("string"), F.col("event_id") % 10
+    tail = F.substring(event, 2, 10_000)
+    value = (
+        F.when(pick == 0, F.concat(F.lit('{"lane":'), number, F.lit(',"weather":{"sky":"gris","wind":2.5},'), tail))
+        .when(pick == 1, F.concat(F.lit('{"lane":null,"sensor_id":"x'), number, F.lit('","zone":7,"average_speed":40.5}')))
+        .when(pick == 2, F.concat(F.lit('{"lane":'), number))
+        .otherwise(event)
+    )
+    source(spark, sf_dir, "event_id").select(value.alias("value")).write.text(folder)
+    events = read_raw(spark, folder, extra=True)
+    return events.select(
+        *EVENT_COLUMNS,
+        F.size(F.map_keys("extra")).alias("n_extra"),
+        F.try_variant_get(F.col("extra")["lane"], "$", "bigint").alias("lane"),
+        F.try_variant_get(F.col("extra")["weather"], "$.sky", "string").alias("sky"),
+        F.try_variant_get(F.col("extra")["weather"], "$.wind", "double").alias("wind"),
+    )
+
+
+@query
+def stream_ingest_quarantine(spark, sf_dir, source=traffic_from_events):
+    """Lake and quarantine of one query: every message, and where it went."""
+    scratch = scratch_dir(spark, "stream")
+    _messages(spark, sf_dir, source).write.text(f"{scratch}/messages")
+    messages = read_file_stream(spark, f"{scratch}/messages", max_bytes=1_000_000)
+    places = (f"{scratch}/raw", f"{scratch}/checkpoint", {"availableNow": True})
+    ingest_stream(messages, *places, quarantine=f"{scratch}/aside").awaitTermination()
+    stored = read_lake(spark, f"{scratch}/raw").select(
+        "sensor_id", "timestamp", *PARTITION_KEYS, F.lit(None).cast("string").alias("value"), F.lit(None).cast("string").alias("reason")
+    )
+    aside = spark.read.schema("value string, reason string").json(f"{scratch}/aside")
+    return stored.unionByName(aside, allowMissingColumns=True)
+
+
 @query
 def stream_ingest_extra(spark, sf_dir, source=traffic_from_events):
     """The unknown field of every tenth message, read from the lake that the stream wrote."""

@@ -34,9 +34,19 @@ def read_topic(spark: SparkSession, servers: str, topic: str = TOPIC_NAME, **opt
     return spark.readStream.format("kafka").options(**topic_options(servers, topic, **options)).load()
 
 
-def read_file_stream(spark: SparkSession, directory: str, max_files: int | None = None) -> DataFrame:
-    """Messages from text files, one per line, as they arrive in ``directory``."""
+def read_file_stream(
+    spark: SparkSession, directory: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """Messages from text files, one per line, as they arrive in ``directory``.
+
+    A micro-batch takes at most ``max_files`` files, or files of ``max_bytes`` together (at least one
+    file).
+    """
     reader = spark.readStream.format("text")
+    if max_files is not None and max_bytes is not None:
+        raise ValueError("a micro-batch is bounded by files or by bytes, not both")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.load(directory)
