@@ -1,9 +1,11 @@
 import json
+import os
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from trafficlake.session import session_settings
 from trafficlake.sinks.raw import write_raw
 from trafficlake.sources.codec import encode_events, storable_events
 from trafficlake.sources.raw import read_lake, read_raw, read_raw_days
@@ -12,6 +14,7 @@ from trafficlake.sinks.topic import topic_sink_options, write_topic
 from trafficlake.streaming import ingest
 from trafficlake.streaming.dedup import dedup_stream, late_events
 from trafficlake.streaming.ingest import ingest_stream, quarantine_stream
+from trafficlake.streaming.late import STATE_STORE, dedup_stream_tagged
 
 NOW = {"availableNow": True}
 
@@ -28,7 +31,9 @@ class Feed:
         self.count = 0
 
     def send(self, *messages):
-        (self.inbox / f"{self.count}.txt").write_text("\n".join(messages) + "\n")
+        file = self.inbox / f"{self.count}.txt"
+        file.write_text("\n".join(messages) + "\n")
+        os.utime(file, (1_700_000_000 + self.count,) * 2)  # files are taken in the order of their times
         self.count += 1
 
     def ingest(self, spark, **options):
@@ -232,6 +237,30 @@ def test_dedup_stream(spark, feed, spread):
     assert rows == [(1, "00"), (1, "01"), (2, "00")]
 
 
+def test_late_first_arrivals_are_tagged(spark, feed):
+    """Output and late events together are the distinct keys; the smallest copy of a micro-batch stays; state expires."""
+    first = _message(1, "2026-01-08T10:00:00+00:00", "B")
+    feed.send(first, _message(1, "2026-01-08T10:00:00+00:00", "A"), first, _message(3, "soon"), _message(None, "2026-01-08T10:00:00+00:00"))
+    feed.send(first, _message(2, "2026-01-08T12:00:00+00:00"), _message(None, "2026-01-08T10:00:00+00:00"))
+    feed.send(_message(3, "2026-01-08T09:00:00+00:00"), _message(4, "2026-01-08T12:00:30+00:00"), _message(2, "2026-01-08T12:00:00+00:00"))
+    feed.send(_message(3, "2026-01-08T09:00:00+00:00"), _message(5, "2026-01-08T11:55:00+00:00"))
+    feed.send(_message(6, "2026-01-08T23:00:00+00:00"))
+    feed.send(_message(7, "2026-01-08T23:01:00+00:00"))
+    events = storable_events(read_file_stream(spark, str(feed.inbox), max_files=1))
+    with session_settings(spark, STATE_STORE):
+        stream = dedup_stream_tagged(events, "10 minutes", spread=2).writeStream.format("memory").queryName("tagged")
+        stream = stream.option("checkpointLocation", feed.checkpoint).start()
+    try:
+        stream.processAllAvailable()
+        rows = sorted((r.sensor_id or 0, r.timestamp[11:16], r.zone, r.late) for r in spark.table("tagged").collect())
+        ordinary = [(0, "10:00"), (2, "12:00"), (4, "12:00"), (5, "11:55"), (6, "23:00"), (7, "23:01")]
+        expected = [(s, t, "Centre Ville", False) for s, t in ordinary] + [(1, "10:00", "A", False), (3, "09:00", "Centre Ville", True)]
+        assert rows == sorted(expected)
+        assert stream.lastProgress["stateOperators"][0]["numRowsTotal"] < 12
+    finally:
+        stream.stop()
+
+
 def test_topic_options():
     assert topic_options("b:9092", **topic_batching()) == {
         "kafka.bootstrap.servers": "b:9092",

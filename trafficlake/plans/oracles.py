@@ -249,4 +249,8 @@ SELECT NULL, NULL, NULL, NULL, NULL, NULL, {_BROKEN},
        CASE event_id % 50 WHEN 0 THEN 'undecodable' WHEN 10 THEN 'undecodable' WHEN 20 THEN 'missing timestamp'
                           WHEN 30 THEN 'bad timestamp' ELSE 'missing zone' END
 FROM events WHERE event_id % 50 IN (0, 10, 20, 30, 40)""",
+    "stream_dedup_late": f"""WITH {_RAW},
+keys AS (SELECT DISTINCT sensor_id, "timestamp", {_INSTANT} AS instant, CAST(substr("timestamp", 15, 2) AS INTEGER) % 7 = 0 AS held
+         FROM traffic_raw)
+SELECT sensor_id, "timestamp", held AND instant <= (SELECT max(instant) FROM keys WHERE NOT held) - INTERVAL 1 HOUR AS late FROM keys""",
 }

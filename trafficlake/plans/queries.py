@@ -23,7 +23,7 @@ from trafficlake.schema import (
     PARTITION_KEYS,
     SAMPLE_COLUMNS,
 )
-from trafficlake.session import scratch_dir, use_utc
+from trafficlake.session import scratch_dir, session_settings, use_utc
 from trafficlake.sinks.kpi import write_kpi, write_sample
 from trafficlake.sinks.raw import write_raw
 from trafficlake.sources import codec
@@ -32,6 +32,7 @@ from trafficlake.sources.raw import read_lake, read_raw, read_raw_checked, read_
 from trafficlake.sources.topic import read_file_stream
 from trafficlake.streaming.dedup import dedup_stream
 from trafficlake.streaming.ingest import ingest_stream
+from trafficlake.streaming.late import STATE_STORE, dedup_stream_tagged
 
 Query = Callable[[SparkSession, str], DataFrame]
 Source = Callable[..., DataFrame]
@@ -300,6 +301,24 @@ def stream_dedup(spark, sf_dir, source=traffic_from_events):
     return spark.read.parquet(f"{scratch}/unique").select("sensor_id", "timestamp")
 
 
+@query
+def stream_dedup_late(spark, sf_dir, source=traffic_from_events):
+    """Keys of a stream in three micro-batches with ``late``. Every seventh minute is held back to the last."""
+    scratch = scratch_dir(spark, "stream")
+    events = source(spark, sf_dir)
+    held = F.substring("timestamp", 15, 2).cast("int") % 7 == 0
+    early = F.col("timestamp") < "2024-01-20"
+    for number, rows in enumerate((~held & early, ~held & ~early, held)):
+        # One file, so one micro-batch, each.
+        codec.encode_events(events.where(rows)).select("value").coalesce(1).write.text(f"{scratch}/messages/{number}")
+    messages = read_file_stream(spark, f"{scratch}/messages/*", max_files=1)
+    with session_settings(spark, STATE_STORE):
+        tagged = dedup_stream_tagged(codec.storable_events(messages), "1 hour").writeStream.format("parquet")
+        tagged = tagged.option("checkpointLocation", f"{scratch}/checkpoint").trigger(availableNow=True)
+        tagged.start(f"{scratch}/unique").awaitTermination()
+    return spark.read.parquet(f"{scratch}/unique").select("sensor_id", "timestamp", "late")
+
+
 # --- KPI files ---------------------------------------------------------------------------------
 
 
