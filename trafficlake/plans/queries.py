@@ -23,7 +23,7 @@ from trafficlake.schema import (
     PARTITION_KEYS,
     SAMPLE_COLUMNS,
 )
-from trafficlake.session import scratch_dir, session_settings, use_utc
+from trafficlake.session import scratch_dir, session_settings, use_utc, workers_find_package
 from trafficlake.sinks.kpi import write_kpi, write_sample
 from trafficlake.sinks.raw import write_raw
 from trafficlake.sources import codec
@@ -74,9 +74,12 @@ HARD = [
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = lambda spark, sf_dir: _plain_readings(fn(use_utc(spark), sf_dir))
+    def run(spark: SparkSession, sf_dir: str, *source: Source) -> DataFrame:
+        return _plain_readings(fn(workers_find_package(use_utc(spark)), sf_dir, *source))
+
+    QUERIES[fn.__name__] = run
     if fn.__name__ in HARD:
-        QUERIES[f"{fn.__name__}_hard"] = lambda spark, sf_dir: _plain_readings(fn(use_utc(spark), sf_dir, traffic_hard))
+        QUERIES[f"{fn.__name__}_hard"] = lambda spark, sf_dir: run(spark, sf_dir, traffic_hard)
     return fn
 
 

@@ -1,5 +1,6 @@
 """Session settings and scratch space."""
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +15,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def workers_find_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers of a local session find this package, wherever the session was started; on a cluster
+    ``--py-files`` does. Once per session is enough, and often does no harm."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return spark
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
