@@ -27,9 +27,11 @@ from trafficlake.llm.common import SPACE, SPACE_BYTES, small_side, staged, witho
 #: Fingerprints an owner receives, about.
 ROWS_PER_OWNER = 250_000
 MAX_OWNERS = 1 << 14
+#: Rows, about, after which a task sends what it has.
+ROWS_PER_SENDER = 200_000
 
 _MESSAGES = (
-    "sender int, owner int, payload binary, repeated binary, "
+    "sender bigint, owner int, payload binary, repeated binary, "
     "doc_id array<bigint>, key array<bigint>, n_chars array<bigint>, sha array<binary>, rank array<int>"
 )
 
@@ -39,17 +41,27 @@ def _signed(n: int) -> int:
 
 
 def _send(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    sender = TaskContext.get().partitionId()
+    """Messages of this task, as of one sender for each ``ROWS_PER_SENDER`` rows."""
+    task, part = TaskContext.get().partitionId(), 0
     ids, keys, chars, shas = [], [], [], []
     for batch in batches:
         ids += batch.column(0).to_pylist()
         chars += pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()
-        for octets in batch.column(1).cast(pa.binary()).to_pylist():
+        for at in range(len(batch)):
+            octets = batch.column(1)[at].as_buffer()
+            octets = None if octets is None else octets.to_pybytes()
             # Spark's xxhash64 of a null is its seed.
             keys.append(42 if octets is None else _signed(xxhash.xxh64_intdigest(octets, 42)))
             shas.append(hashlib.sha256((octets or b"").translate(None, SPACE_BYTES)).digest())
-    if not ids:
-        return
+        if len(ids) >= ROWS_PER_SENDER:
+            yield from _messages(task << 32 | part, ids, keys, chars, shas, bits)
+            part += 1
+            ids, keys, chars, shas = [], [], [], []
+    if ids:
+        yield from _messages(task << 32 | part, ids, keys, chars, shas, bits)
+
+
+def _messages(sender: int, ids: list, keys: list, chars: list, shas: list, bits: int) -> Iterator[pa.RecordBatch]:
     prints = np.frombuffer(b"".join(s[:8] for s in shas), ">u8").astype(np.uint64)
     order = np.argsort(prints, kind="stable")
     prints = prints[order]
@@ -60,7 +72,7 @@ def _send(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBat
         distinct, rank, count = np.unique(prints[start:end], return_inverse=True, return_counts=True)
         yield pa.RecordBatch.from_pydict(
             {
-                "sender": pa.array([sender], pa.int32()),
+                "sender": pa.array([sender], pa.int64()),
                 "owner": pa.array([owner], pa.int32()),
                 "payload": pa.array([golomb.encode(distinct, owner << (64 - bits))], pa.binary()),
                 "repeated": pa.array([np.packbits(count > 1, bitorder="little").tobytes()], pa.binary()),
@@ -99,7 +111,7 @@ def _marked(docs: DataFrame) -> DataFrame:
         return _answer(received, bits)
 
     coded = messages.select("sender", "owner", "payload", "repeated")
-    answers = coded.groupBy("owner").applyInArrow(answer, "sender int, owner int, bitmap binary")
+    answers = coded.groupBy("owner").applyInArrow(answer, "sender bigint, owner int, bitmap binary")
     each = messages.drop("payload", "repeated").join(answers, ["sender", "owner"])
     each = each.select("sender", "owner", "bitmap", F.posexplode(F.arrays_zip("doc_id", "key", "n_chars", "sha", "rank")))
     octet = F.expr("cast(conv(hex(substring(bitmap, col.rank div 8 + 1, 1)), 16, 10) as int)")
@@ -137,16 +149,14 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     )
     groups = groups.join(_verified(docs, suspects), "sha").select("sha", "best", checked.alias("size"))
     groups = groups.withColumnRenamed("sha", "group_sha")
-    out = thin.join(groups, F.col("suspect") & (thin["sha"] == groups["group_sha"]), "left")
+    met = suspects.join(groups, suspects["sha"] == groups["group_sha"])
     stays = F.expr("best.sender = sender and best.owner = owner and best.pos = pos")
-    return out.select(
-        "doc_id",
-        F.when(F.col("suspect"), F.col("best.doc_id")).otherwise(F.col("doc_id")).alias("keep_id"),
-        F.when(F.col("suspect"), F.col("size")).otherwise(F.lit(1)).cast("bigint").alias("group_size"),
-        F.when(F.col("suspect"), stays).otherwise(F.lit(True)).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"),
-        "key",
-    )
+    found = met.select("doc_id", F.col("best.doc_id").alias("keep_id"), "size", stays.alias("kept"), "sha", "key")
+    # Rows that are no suspects meet no shuffle any more.
+    alone = thin.where("not suspect")
+    alone = alone.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("size"), F.lit(True).alias("kept"), "sha", "key")
+    out = alone.unionByName(found).withColumnRenamed("size", "group_size")
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"), "key")
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trafficlake.llm.common import hash_order, held_out, small_side
+from trafficlake.llm.common import free_name, hash_order, held_out, small_side
 
 #: The model is fitted on at most so many documents of each language, the first of them landmarks.
 TRAIN_PER_LANGUAGE = 300
@@ -43,12 +43,13 @@ def bounded_sample(rows: DataFrame, label: str, most: int, seed: str) -> DataFra
     Counts of each label thin the rows before they are ranked, so a label with a third of all rows sends
     about twice ``most`` of them to the task that ranks it.
     """
-    counts = rows.groupBy(label).agg(F.count("*").alias("__n")).withColumnRenamed(label, "__label")
-    share = F.least(F.lit(1.0), F.lit(2.0 * most + 50) / F.col("__n"))
+    n, other, place = (free_name(rows, name) for name in ("n_rows", "counted_label", "place"))
+    counts = rows.groupBy(label).agg(F.count("*").alias(n)).withColumnRenamed(label, other)
+    share = F.least(F.lit(1.0), F.lit(2.0 * most + 50) / F.col(n))
     draw = F.conv(F.substring(hash_order(seed), 1, 8), 16, 10).cast("bigint") / F.lit(2.0**32)
-    thinned = rows.join(small_side(counts), F.col(label) == F.col("__label")).where(draw < share)
+    thinned = rows.join(small_side(counts), F.col(label) == F.col(other)).where(draw < share)
     rank = F.row_number().over(Window.partitionBy(label).orderBy(hash_order(seed), F.xxhash64("text")))
-    return thinned.withColumn("__rank", rank).where(F.col("__rank") <= most).select(*rows.columns)
+    return thinned.withColumn(place, rank).where(F.col(place) <= most).select(*rows.columns)
 
 
 class Alphabet:
