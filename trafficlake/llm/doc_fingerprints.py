@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trafficlake.llm.prefix_hash import PrefixHash
+from trafficlake.llm.prefix_hash import PrefixHash, likeness
 
 #: Ranges of doc_id at most; each is one task's texts.
 MAX_RANGES = 1 << 16
@@ -54,8 +54,9 @@ def _in_order(docs: DataFrame) -> DataFrame:
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     before = None
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"]
+    names += ["near_edited", "near_next", "shared_edited", "shared_next"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
     for batch in batches:
         out = []
         for place, guest, doc_id, value in zip(*(c.to_pylist() for c in batch.columns)):
@@ -69,8 +70,10 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 edited = text[: len(text) - half] + value[:half]
                 changed = PrefixHash(edited)
                 digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-                near = mine.shared(changed), mine.shared(hashed)
-                out.append((own_id, len(text), digest, own, changed.fingerprint(), *near))
+                other = changed.fingerprint()
+                near = likeness(own, other), likeness(own, now[4])
+                shared = mine.shared(changed), mine.shared(hashed)
+                out.append((own_id, len(text), digest, own, other, *near, *shared))
             before = None if guest else now
         columns = zip(*out) if out else [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
@@ -78,17 +81,18 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, n_chars, edited_sha256,
-    fingerprint, edited_fingerprint, near_edited, near_next.
+    fingerprint, edited_fingerprint, near_edited, near_next, shared_edited, shared_next.
 
     The next document is the one with the next smaller doc_id, missing ids last, rows with equal ids in order
     of their texts, and after the last comes the first; a lone document is its own next. The edited text has
-    the next text's beginning in place of its own second half. near_edited and near_next are the shares of the
-    longer text that the document has in common with the edited and the next one, shifted or not. A null text counts as empty. No rows give no
-    rows.
+    the next text's beginning in place of its own second half. near_edited and near_next are what the document's
+    fingerprint tells of its likeness to the edited and the next one's (``likeness``); shared_edited and
+    shared_next are the shares of the longer text found in common in the texts themselves, by longest common
+    extensions, shifted or not. A null text counts as empty. No rows give no rows.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     schema = (
         "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double"
+        "near_edited double, near_next double, shared_edited double, shared_next double"
     )
     return _in_order(rows).mapInArrow(_compared, schema)
