@@ -44,12 +44,15 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _HEAD = frozenset("base link meta noscript script style template title".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 _NEVER = frozenset(
-    "aside audio button canvas datalist dialog fieldset footer form head iframe map menu nav noembed noframes noscript "
+    "aside audio button canvas datalist fieldset footer head iframe map menu nav noembed noframes noscript "
     "object option script search select style svg template textarea title video".split()
 )
 _NEVER_ROLES = frozenset(
-    "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
+    "alert banner complementary contentinfo menu menubar navigation search toolbar".split()
 )
+#: Elements and roles that hold a page's controls and notices, but may as well hold the whole page.
+_HOLDERS = frozenset("dialog form".split())
+_HOLDER_ROLES = frozenset("alertdialog dialog form".split())
 #: A class or id made of the first words, with or without the second, names a container of comments.
 _COMMENT_WORDS = frozenset("comment comments commentlist commentary discussion disqus reply replies respond".split())
 _COMMENT_PARTS = frozenset(
@@ -86,7 +89,8 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]
 _WORD = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-_SOFT, _HARD = 1, 2
+#: How surely text is no article's; of a silent element, one in the midst of a line, there is no text at all.
+_SOFT, _HARD, _SILENT = 1, 2, 3
 
 
 class Line(NamedTuple):
@@ -99,11 +103,17 @@ class Line(NamedTuple):
     region: int
     #: The innermost division it is in.
     box: int
+    #: In a form or dialog.
+    held: bool
+
+
+#: What ``_furniture`` says of a form or dialog; it counts as ``_SOFT``, or not at all where it is the page's frame.
+_HOLDER = -1
 
 
 def _furniture(name: str, attributes: str, in_article: bool) -> int:
     """How surely an element holds no article text: 0, ``_SOFT`` (dense text, or a marked article inside,
-    overrules) or ``_HARD``."""
+    overrules), ``_HOLDER`` or ``_HARD``."""
     if name in _NEVER:
         return _HARD
     found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
@@ -119,6 +129,8 @@ def _furniture(name: str, attributes: str, in_article: bool) -> int:
             return _HARD
         if name in ("main", "article"):
             return 0
+        if name in _HOLDERS or found.get("role", "").lower() in _HOLDER_ROLES:
+            return _HOLDER
         words = set().union(*parts)
         often = words & _OFTEN_WORDS
         if often and not (often <= {"header", "banner"} and (in_article or words & _ARTICLE_WORDS)):
@@ -126,12 +138,13 @@ def _furniture(name: str, attributes: str, in_article: bool) -> int:
     return _SOFT if name == "header" and not in_article else 0
 
 
-def _lines(page: str) -> tuple[list[Line], set[int]]:
-    """The page's lines, and those of its regions that are article elements."""
+def _lines(page: str, framed: bool = False) -> tuple[list[Line], set[int]]:
+    """The page's lines, and those of its regions that are article elements. ``framed``: forms and dialogs that are in
+    no other are what the page is in, and say nothing of their text."""
     lines: list[Line] = []
-    stack: list[tuple[str, int, int, int, int]] = []  # name, strength within, links, region, box
+    stack: list[tuple[str, int, int, int, int, bool]] = []  # name, strength within, links, region, box, held
     buffer: list[str] = []
-    state = (0, 0, 0, 0)  # strength, links, region, box
+    state = (0, 0, 0, 0, False)  # strength, links, region, box, held
     link_chars, opened = 0, 0
     articles: set[int] = set()
 
@@ -140,7 +153,7 @@ def _lines(page: str) -> tuple[list[Line], set[int]]:
         if buffer:
             text = " ".join("".join(buffer).split())
             if text:
-                weight = -1 if state[0] == _HARD else max(0, len(text) - link_chars)
+                weight = -1 if state[0] >= _HARD else max(0, len(text) - link_chars)
                 lines.append(Line(text, weight, state[0] == _SOFT, *state[2:]))
             buffer.clear()
             link_chars = 0
@@ -148,10 +161,12 @@ def _lines(page: str) -> tuple[list[Line], set[int]]:
     def close(depth: int) -> None:
         nonlocal state
         del stack[depth:]
-        state = stack[-1][1:] if stack else (0, 0, 0, 0)
+        state = stack[-1][1:] if stack else (0, 0, 0, 0, False)
 
     def said(raw: str) -> None:
         nonlocal link_chars
+        if state[0] == _SILENT:
+            return
         text = html.unescape(raw) if "&" in raw else raw
         if text:
             buffer.append(text)
@@ -210,8 +225,13 @@ def _lines(page: str) -> tuple[list[Line], set[int]]:
             continue
         if name in _VOID or attributes.endswith("/") and name in ("svg", "path"):
             continue
-        strength, links, region, box = state
+        strength, links, region, box, held = state
         own = _furniture(name, attributes, bool(region))
+        if own == _HOLDER:
+            own = 0 if framed and not held else _SOFT
+            held = True
+        if own == _HARD and name not in _BLOCKS and strength < _HARD:
+            own = _SILENT
         opened += 1
         if name in ("article", "main") and not own and strength < _HARD:
             strength = 0
@@ -221,7 +241,7 @@ def _lines(page: str) -> tuple[list[Line], set[int]]:
                 articles.add(region)
         if name in _BOXES:
             box = opened
-        stack.append((name, max(strength, own), links + (name == "a"), region, box))
+        stack.append((name, max(strength, own), links + (name == "a"), region, box, held))
         state = stack[-1][1:]
     flush()
     return lines, articles
@@ -265,6 +285,10 @@ def main_text(page: str | None, reach: int = REACH) -> str:
     if not page:
         return ""
     lines, articles = _lines(page)
+    running = [line for line in lines if line.weight >= THRESHOLD_CHARS]
+    held = sum(line.weight for line in running if line.held)
+    if held and not articles and held > sum(line.weight for line in running if not line.held):
+        lines, articles = _lines(page, framed=True)
     dense = _dense(lines, reach)
     core = [line.weight > 0 and own for line, own in zip(lines, dense)]
     inside = list(core)
