@@ -1,6 +1,7 @@
 """Plain, slow counterparts of the operators."""
 
 import re
+import uuid
 
 import xxhash
 
@@ -49,3 +50,10 @@ def exact_groups(texts):
         best = min(ids, key=lambda i: (-len(texts[i] or ""), i))
         kept |= {i: (best, len(ids)) for i in ids}
     return kept
+
+
+def one_scratch_folder(monkeypatch, folder, *modules):
+    """Everything the modules stage lies below one folder; returns a function that lists the labels of what is there."""
+    for module in modules:
+        monkeypatch.setattr(module, "scratch_dir", lambda spark, label: f"{folder}/{label}-{uuid.uuid4().hex}")
+    return lambda: sorted(x.name.rpartition("-")[0] for x in folder.iterdir()) if folder.exists() else []

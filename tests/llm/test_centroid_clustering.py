@@ -8,9 +8,9 @@ import numpy as np
 import pytest
 
 from trafficlake.llm.centroid_clustering import cluster, described, loosenings, squared_distances
+from trafficlake.llm import centroid_clustering
 from trafficlake.llm.common import table
-from trafficlake.paths import folders
-from trafficlake.session import scratch_dir
+from tests.llm.helpers import one_scratch_folder
 from tests.llm.test_queries import SF_DIR
 
 ROWS = "vec_id bigint, embedding array<float>"
@@ -147,11 +147,17 @@ def test_squared_distances_are_exact():
         assert squared_distances(np.array(v), np.array(c)).tolist() == expected
 
 
-def test_generations_are_removed(spark):
-    """After the rounds only the result is left of what was written."""
-    root = scratch_dir(spark, "x").rpartition("/")[0]
-    before = set(folders(spark, f"{root}/*"))
-    found = cluster(table(spark, SF_DIR, "embeddings"), rounds=3)
-    left = set(folders(spark, f"{root}/*")) - before
-    assert found.vectors.count() == 500
-    assert not [x for x in left if "cluster-blocks" in x]
+def test_generations_are_removed(spark, tmp_path, monkeypatch):
+    """After the rounds only the result is left of what was written; after a failure nothing is."""
+    left = one_scratch_folder(monkeypatch, tmp_path / "scratch", centroid_clustering)
+    docs = table(spark, SF_DIR, "embeddings")
+    assert cluster(docs, rounds=3).vectors.count() == 500
+    assert left() == ["clusters"]
+
+    def dies(state, before):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(centroid_clustering, "_moved", dies)
+    with pytest.raises(RuntimeError):
+        cluster(docs, rounds=3)
+    assert left() == ["clusters"]

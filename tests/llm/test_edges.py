@@ -274,3 +274,29 @@ def test_tokens_are_those_of_the_whole_text():
     texts += ["a <|endoftext|>  b", " x  \n y\n\n z \n", "é    b\tc", "", None, "a\x1cb  c", "\0a b", "a b c", "x" * 500]
     for text, ids in zip(texts, encode(texts)):
         assert coder.encode(text or "", add_special_tokens=False).ids == np.frombuffer(ids, "<u4").tolist()
+
+
+def test_pipeline_on_edge_rows_and_on_none(spark, tmp_path, monkeypatch):
+    """All stages in a row over nulls, empty and long texts, copies, ties and clashing columns, and over no rows."""
+    import corpus_pipeline
+    from tests.llm.helpers import one_scratch_folder
+    from trafficlake.llm import common
+
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, own_key string, size string, row string, `group` string"
+    speech = {"en": "the weather in the old town was cold and the people went home", "es": "el tiempo en la ciudad vieja era muy frío y la gente volvió"}
+    texts = [None, "", " \\n\\t", "12 ?!", "x" * 100_000, "long words " * 20_000]
+    texts += [f"{speech[lang]} {i} {i * i}" for i in range(40) for lang in speech] + [speech["en"]] * 5
+    rows = [(i, t, [*speech, None][i % 3], ["a", "b", None][i % 3], 1, "k", "s", "r", "g") for i, t in enumerate(texts)]
+    rows += [(None, speech["es"], None, None, None, None, None, None, None)] * 2
+    for name, part in (("rows", rows), ("none", [])):
+        spark.createDataFrame(part, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        left = one_scratch_folder(monkeypatch, tmp_path / f"scratch-{name}", common, corpus_pipeline)
+        out = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert bool(out) == bool(part)
+        assert left() == ["pack-pieces", "pipeline-source_mix"]
+        used = {}
+        for r in out:
+            used.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        for spans in used.values():
+            ends = [a + n for a, n in sorted(spans)]
+            assert [a for a, _ in sorted(spans)] == [0, *ends[:-1]] and ends[-1] <= 1024

@@ -1,14 +1,23 @@
 """Cases in which an operator once did less than its whole job."""
 
 import base64
+import difflib
+import itertools
 import random
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
+from tests.llm.helpers import exact_groups, one_scratch_folder
+from trafficlake.llm import common, packing
+from trafficlake.llm.common import passing_tables, staged, table
 from trafficlake.llm.doc_fingerprints import fingerprints
+from trafficlake.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 from trafficlake.llm.html_text import main_text
-from trafficlake.llm.language_id import Model, identified
+from trafficlake.llm.language_id import Model, fit, identified, keep_identified
+from trafficlake.llm.near_dedup import drop_near_duplicates
 from trafficlake.llm.prefix_hash import PrefixHash, likeness
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -131,5 +140,141 @@ def test_fingerprints_see_shifted_text():
 def test_fingerprint_query_sees_shifted_text(spark):
     text, *copies, other = _edited_copies()
     rows = [(9, other), (8, text), (7, copies[0]), (6, text), (5, copies[1])]
-    near = {r["doc_id"]: r["near_next"] for r in fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert all(0.95 < near[i] < 1 for i in (8, 7, 6)) and near[9] < 0.01
+    found = {r["doc_id"]: r for r in fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(0.95 < found[i]["shared_next"] < 1 for i in (8, 7, 6)) and found[9]["shared_next"] < 0.01
+    assert all(0.7 < found[i]["near_next"] < 1 for i in (8, 7, 6)) and found[9]["near_next"] < 0.01
+
+
+FRAMED_STORY = [f"Paragraph {i} of the story goes on for long enough to be told from what a page has besides, word after word." for i in range(6)]
+FRAMED_SEARCH = '<form action="/find"><label>Search this site</label><input name="q"><button>Go</button></form>'
+FRAMED_NOTICE = '<div role="dialog"><p>We use cookies to keep you signed in.</p><button>Accept</button></div>'
+
+
+@pytest.mark.parametrize("story", ["<article>{}</article>", "<div>{}</div>", "<main><h1>Title</h1>{}</main>"])
+@pytest.mark.parametrize("frame", ['<form method="post" action="./page.aspx">{}</form>', '<div role="dialog">{}</div>', "<dialog open>{}</dialog>", '<div role="form">{}</div>'])
+def test_a_frame_does_not_swallow_the_article(frame, story):
+    """Pages that are one form, or a dialog, as some servers write them; a real search form and a notice still go."""
+    text = "".join(f"<p>{x}</p>" for x in FRAMED_STORY)
+    rest = "<nav><a href=1>Home</a> <a href=2>News</a></nav>" + FRAMED_SEARCH * ("form" not in frame) + FRAMED_NOTICE * ("dialog" not in frame)
+    page = f"<html><body>{frame.format(rest + story.format(text) + '<footer>Imprint</footer>')}</body></html>"
+    expected = ["Title"] * ("h1" in story) + FRAMED_STORY
+    assert main_text(page) == "\n".join(expected)
+
+
+def test_forms_beside_the_story_go():
+    text = "".join(f"<p>{x}</p>" for x in FRAMED_STORY)
+    contact = "<form><p><label>Your name</label><input></p><p><label>Your message</label><textarea>" + "x" * 200 + "</textarea></p><p>Send</p></form>"
+    page = f"<html><body>{FRAMED_SEARCH}<div>{text}</div>{contact}{FRAMED_NOTICE}</body></html>"
+    assert main_text(page) == "\n".join(FRAMED_STORY)
+
+
+def test_likeness_follows_the_returned_fingerprints(spark):
+    """near_* are what a user gets from the two fingerprints, and on average close to the plain share in common."""
+    docs = table(spark, SF_DIR, "documents")
+    rows = fingerprints(docs).collect()
+    prints = {r["doc_id"]: r["fingerprint"] for r in rows}
+    order = sorted(prints, reverse=True)
+    following = dict(zip(order, [*order[1:], order[0]]))
+    assert all(r["near_edited"] == likeness(r["fingerprint"], r["edited_fingerprint"]) for r in rows)
+    assert all(r["near_next"] == likeness(r["fingerprint"], prints[following[r["doc_id"]]]) for r in rows)
+    assert np.mean([abs(r["near_edited"] - r["shared_edited"]) for r in rows]) < 0.05
+    assert np.mean([abs(r["near_next"] - r["shared_next"]) for r in rows]) < 0.05
+
+
+def _plain_share(a, b, least):
+    """The share of the longer text in matching blocks of at least ``least`` characters, found one after the other."""
+    found, todo = 0, [(0, len(a), 0, len(b))]
+    matcher = difflib.SequenceMatcher(None, a, b, autojunk=False)
+    while todo:
+        i0, i1, j0, j1 = todo.pop()
+        block = matcher.find_longest_match(i0, i1, j0, j1)
+        if block.size >= least:
+            found += block.size
+            todo += [(i0, block.a, j0, block.b), (block.a + block.size, i1, block.b + block.size, j1)]
+    return found / max(len(a), len(b), 1)
+
+
+def test_shares_against_plain_matching(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in table(spark, SF_DIR, "documents").collect()}
+    rows = {r["doc_id"]: r for r in fingerprints(table(spark, SF_DIR, "documents")).collect()}
+    order = sorted(texts, reverse=True)
+    short = [(a, b) for a, b in zip(order, order[1:]) if 0 < len(texts[a]) < 700 and 0 < len(texts[b]) < 700][:120]
+    assert len(short) > 30
+    gaps = []
+    for a, b in short:
+        half = len(texts[a]) // 2
+        edited = texts[a][: len(texts[a]) - half] + texts[b][:half]
+        gaps.append(abs(rows[a]["near_edited"] - _plain_share(texts[a], edited, 32)))
+    assert np.mean(gaps) < 0.1
+
+
+def test_few_sizes_after_grouping():
+    """Large pieces are rounded up within equal-cardinality classes: no more sizes than classes, few more sequences."""
+    lengths = np.random.default_rng(1).integers(1, 1024, size=60_000)
+    sizes = []
+    plain = packing._fullest
+
+    def fullest(counts, largest, capacity):
+        sizes.append(set(counts))
+        return plain(counts, largest, capacity)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(packing, "_fullest", fullest)
+        sequence, offset = packing.plan(lengths)
+    assert len(sizes[0]) <= packing.CLASSES < len(set(lengths[lengths > 128].tolist()))
+    used = np.bincount(sequence, weights=lengths)
+    assert used.max() <= 1024 and len(used) <= 1.005 * np.ceil(lengths.sum() / 1024)
+    assert (offset + lengths <= 1024).all()
+
+
+def test_identical_rows_are_dealt_to_several_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 50)
+    rows = spark.createDataFrame([(1, "the same text")] * 400, "doc_id bigint, text string")
+    out = packing.pack(rows).collect()
+    assert len(out) == 400 and len({r["sequence_id"] >> 40 for r in out}) > 4
+
+
+def test_columns_named_like_helpers_stay(spark):
+    """Operators that keep all columns of the documents keep those with names that helpers could have."""
+    names = ["__key", "own_key", "_own_key", "__id", "__k", "listed_id", "LISTED_KEY", "__row", "__label", "place", "n_rows", "size", "sha", "sender"]
+    rows = [(i, f"text {'same' if i < 3 else i} de la casa", "en", *[f"{n}{i}" for n in names]) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, " + ", ".join(f"`{n}` string" for n in names))
+    docs = docs.drop("listed_id").withColumn("listed_id", F.lit("x"))
+    for kept in (drop_exact_duplicates(docs), drop_near_duplicates(docs), keep_identified(docs, fit(docs))):
+        assert kept.columns == docs.columns
+        for row in kept.collect():
+            assert all(row[n] == f"{n}{row['doc_id']}" for n in names if n != "listed_id") and row["listed_id"] == "x"
+
+
+def test_rows_that_are_no_suspects_are_not_joined_again(spark, plan):
+    docs = spark.createDataFrame([(i, f"text {i % 50}") for i in range(60)], "doc_id bigint, text string")
+    text = plan(exact_duplicates(docs))
+    after = text[text.index("Union") :].splitlines()[1:]
+    indent = after[0].index(":")
+    # The first branch of the union, from the written rows on.
+    alone = "\n".join(itertools.takewhile(lambda line: line[indent : indent + 1] == ":", after))
+    assert "Exchange" not in alone and "Join" not in alone and "Scan parquet" in alone
+
+
+def test_senders_of_many_rows_send_in_parts(spark, monkeypatch):
+    from trafficlake.llm import exact_dedup
+
+    monkeypatch.setattr(exact_dedup, "ROWS_PER_SENDER", 7)
+    texts = {i: f"text {i % 23}  " + " " * (i % 3) for i in range(100)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").coalesce(1)
+    found = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_duplicates(docs).collect()}
+    assert found == exact_groups(texts)
+
+
+def test_passing_tables_are_removed(spark, tmp_path, monkeypatch):
+    left = one_scratch_folder(monkeypatch, tmp_path / "scratch", common)
+    staged(spark.range(3), "kept")
+    with pytest.raises(RuntimeError):
+        with passing_tables(spark):
+            assert staged(spark.range(3), "outer").count() == 3
+            with passing_tables(spark):
+                staged(spark.range(3), "inner")
+                assert left() == ["inner", "kept", "outer"]
+            assert left() == ["kept", "outer"]
+            raise RuntimeError
+    assert left() == ["kept"]

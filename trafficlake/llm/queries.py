@@ -1,6 +1,5 @@
 """The operators as queries over the supplied tables."""
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,19 +20,11 @@ from trafficlake.llm.near_dedup import near_duplicates
 from trafficlake.llm.packing import pack
 from trafficlake.llm.token_counts import LIMIT, count_tokens
 from trafficlake.llm.toxicity import score_toxicity
-
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
+from trafficlake.session import workers_find_package
 
 def _importable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Lets Python workers of a local session find this package; on a cluster --py-files does."""
-
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        env = spark.sparkContext.environment
-        paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-        if _ROOT not in paths:
-            env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
-        return query(spark, sf_dir)
+        return query(workers_find_package(spark), sf_dir)
 
     return run
 
