@@ -4,12 +4,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trafficlake.llm.common import staged
+from trafficlake.llm.common import passing_tables
 from trafficlake.llm.exact_dedup import drop_exact_duplicates
 from trafficlake.llm.language_id import fit, keep_identified
 from trafficlake.llm.mixing import mix
 from trafficlake.llm.near_dedup import drop_near_duplicates
 from trafficlake.llm.packing import pack
+from trafficlake.paths import remove
+from trafficlake.session import scratch_dir, workers_find_package
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +52,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Each stage's result is written; once it stands, what the stage had written on its way
+    and its input go. The last stage is computed when its rows are read, so its input stays."""
+    workers_find_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = staged(docs, f"pipeline-{name}")
-    return docs
+    before = None
+    for name, stage in STAGES[:-1]:
+        path = scratch_dir(spark, f"pipeline-{name}")
+        with passing_tables(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.schema(result.schema).parquet(path), path
+    return STAGES[-1][1](spark, docs, sf_dir)
