@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from trafficlake.llm import golomb
@@ -28,7 +28,8 @@ UNSEEN = 0.5
 #: Bytes of text in a chunk, and different n-grams of all chunks in a bucket, about.
 CHUNK_BYTES = 6_000_000
 BUCKET_BYTES = 3_500_000
-MAX_BUCKETS = 1 << 16
+#: Groups that a task reads, so that the number of tasks follows the input.
+GROUPS_PER_TASK = 2
 #: Hashes have so many bits beyond those that number the n-grams: two of them collide once in 2^24 n-grams.
 SPARE_BITS = 24
 
@@ -112,8 +113,13 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA) -
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-total // CHUNK_BYTES))
     # Every message and every answer is a row, and words are of about six bytes, with `order` n-grams each.
-    fold = min(MAX_BUCKETS, max(1, total // BUCKET_BYTES)).bit_length() - 1
+    fold = max(1, total // BUCKET_BYTES).bit_length() - 1
     bits = min(64, max(32, (total // 6 * order).bit_length() + SPARE_BITS))
+    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def grouped(df: DataFrame, by: str, groups: int) -> GroupedData:
+        return df.repartition(max(usual, -(-groups // GROUPS_PER_TASK)), by).groupBy(by)
+
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
 
     def messages(group: pa.Table) -> pa.Table:
@@ -146,8 +152,9 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA) -
         chunk = Chunk(group["text"].cast(pa.binary()).to_pylist(), order, bits)
         return pa.table({"doc_id": group["doc_id"], "n_words": chunk.lengths, "score": chunk.scores(known, alpha)})
 
-    sent = dealt.groupBy("chunk").applyInArrow(messages, "chunk bigint, bucket bigint, grams binary, counts binary")
-    back = sent.groupBy("bucket").applyInArrow(totals, "chunk bigint, bucket bigint, totals binary")
-    scored = dealt.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(scores, "doc_id bigint, n_words bigint, score double")
+    sent = grouped(dealt, "chunk", chunks).applyInArrow(messages, "chunk bigint, bucket bigint, grams binary, counts binary")
+    back = grouped(sent, "bucket", 1 << fold).applyInArrow(totals, "chunk bigint, bucket bigint, totals binary")
+    both = grouped(dealt, "chunk", chunks).cogroup(grouped(back, "chunk", chunks))
+    scored = both.applyInArrow(scores, "doc_id bigint, n_words bigint, score double")
     mean = F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words"))
     return scored.withColumn("mean_score", mean)
