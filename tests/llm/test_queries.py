@@ -13,7 +13,7 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 from tests.llm import helpers
-from trafficlake.llm.common import table
+from trafficlake.llm.common import staged, table
 from trafficlake.llm.packing import pack
 from trafficlake.llm.tokens import VOCABULARY, vocabulary_path
 
@@ -176,7 +176,7 @@ def test_pipeline(spark, docs):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         frame = stage(spark, frame, SF_DIR)
         assert frame.columns == columns
-        frame = corpus_pipeline.staged(frame, "test-pipeline")
+        frame = staged(frame, "test-pipeline")
     found = {}
     for r in frame.collect():
         found[r["doc_id"]] = found.get(r["doc_id"], 0) + 1

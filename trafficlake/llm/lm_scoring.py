@@ -118,7 +118,10 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA) -
     usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def grouped(df: DataFrame, by: str, groups: int) -> GroupedData:
-        return df.repartition(max(usual, -(-groups // GROUPS_PER_TASK)), by).groupBy(by)
+        """Groups dealt evenly to tasks."""
+        tasks = max(usual, -(-groups // GROUPS_PER_TASK))
+        task = F.pmod(by, F.lit(tasks)).cast("int")
+        return df.withColumn("task", task).repartitionById(tasks, "task").groupBy("task", by)
 
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
 
