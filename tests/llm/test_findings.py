@@ -278,3 +278,42 @@ def test_passing_tables_are_removed(spark, tmp_path, monkeypatch):
             assert left() == ["kept", "outer"]
             raise RuntimeError
     assert left() == ["kept"]
+
+
+def _plain_language_scores(texts, labels, landmarks, asked):
+    """Kernel ridge regression on landmarks, from sets of n-grams and the kernel matrix alone."""
+    letters = {c for t in texts for c in t.lower() if c.isalpha()}
+
+    def grams(text):
+        codes = "".join(c if c in letters else "?" if c.isalpha() else " " for c in text.lower())
+        return {codes[i : i + n] for n in (1, 2, 3) for i in range(len(codes) - n + 1)}
+
+    known = set().union(*(grams(texts[i]) for i in landmarks))
+    sets = [grams(t) & known for t in [*texts, *asked]]
+    marks = [sets[i] for i in landmarks]
+    kernel = np.array([[len(a & b) / np.sqrt(max(len(a), 1) * max(len(b), 1)) for b in marks] for a in sets])
+    values, vectors = np.linalg.eigh(kernel[landmarks])
+    keep = values > 1e-6 * values[-1]
+    features = np.column_stack([kernel @ (vectors[:, keep] / np.sqrt(values[keep])), np.ones(len(sets))])
+    x, rest = features[: len(texts)], features[len(texts) :]
+    languages = sorted(set(labels))
+    scores = []
+    for language in languages:
+        y = np.array([1.0 if x == language else -1.0 for x in labels])
+        # The penalty as further rows of a least-squares problem.
+        penalty = np.diag([np.sqrt(1e-3 * len(texts))] * (x.shape[1] - 1) + [np.sqrt(1e-9)])
+        weights = np.linalg.lstsq(np.vstack([x, penalty]), np.append(y, np.zeros(x.shape[1])), rcond=None)[0]
+        scores.append(rest @ weights)
+    return languages, np.array(scores).T
+
+
+def test_language_scores_against_kernel_ridge_from_sets():
+    rows = pq.read_table(f"{SF_DIR}/documents.parquet", columns=["doc_id", "text", "lang"]).to_pylist()
+    rows = [(r["text"][:600], r["lang"]) for r in rows if r["lang"] and r["text"]]
+    texts, labels = zip(*rows[:160])
+    landmarks = list(range(0, 160, 8))
+    asked = [t for t, _ in rows[200:260]] + UNLEARNED
+    model = Model(list(texts), list(labels), landmarks)
+    languages, expected = _plain_language_scores(texts, labels, landmarks, asked)
+    assert model.languages == languages
+    assert model.scores([model.found(t) for t in asked]) == pytest.approx(expected, abs=2e-3)
