@@ -176,3 +176,9 @@ def test_stamp_sees_files_come_and_go(spark, tmp_path):
 
 def test_nothing_changed(job, done):
     assert changed_days(job.spark, job.raw, job.partials, 50) == ({}, [])
+
+
+def test_logged_lakes_are_refused(spark, job):
+    (job.root / "raw" / "_spark_metadata").mkdir()
+    with pytest.raises(ValueError, match="file log"):
+        job.run()

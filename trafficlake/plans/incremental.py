@@ -99,6 +99,8 @@ def run_incremental(
     last of all, so a run that fails is made good by the next. One run at a time.
     """
     require_apart(spark, raw=raw, partials=partials, analytics=analytics, sample=sample)
+    if exists(spark, f"{raw.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{raw} is kept by a file log, which names files, not days; copy its days to a new root first")
     folders = lake_days(spark, raw)
     stamps, gone = changed_days(spark, raw, partials, sample_rows)
     if days is not None:
