@@ -2,6 +2,7 @@
 
 import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
@@ -81,15 +82,11 @@ def total_bytes(spark: SparkSession, pattern: str) -> int:
 
 
 def files(spark: SparkSession, folder: str) -> list[str]:
-    """All files at any depth, by full name."""
-    found, listing = [], _file_system(spark, folder).listFiles(_path(spark, folder), True)
-    while listing.hasNext():
-        found.append(listing.next().getPath().toString())
-    return sorted(found)
-
-
-def qualified(spark: SparkSession, text: str) -> str:
-    return _file_system(spark, text).makeQualified(_path(spark, text)).toString()
+    """Names of all files at any depth below the folder that have content, relative to it. Spark lists them, large
+    trees in parallel."""
+    listed = spark.read.option("recursiveFileLookup", True).text(folder).inputFiles()
+    end = f"{folder.rstrip('/').rpartition('/')[2]}/"
+    return sorted(unquote(name).partition(end)[2] for name in listed)
 
 
 def same_file_system(spark: SparkSession, first: str, second: str) -> bool:
@@ -104,6 +101,18 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise FileExistsError(f"cannot move {source} to {target}")
 
 
+def move_all(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """Rename files to names that no other file can have."""
+    if not moves:
+        return
+    system = _file_system(spark, moves[0][1])
+    for parent in sorted({target.rpartition("/")[0] for _, target in moves}):
+        system.mkdirs(_path(spark, parent))
+    for source, target in moves:
+        if not system.rename(_path(spark, source), _path(spark, target)):
+            raise OSError(f"cannot move {source} to {target}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file that is there whole or not at all: written under a hidden name, then renamed."""
     folder, _, name = path.rpartition("/")

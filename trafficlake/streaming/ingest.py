@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trafficlake.operators.enrich import with_partition_keys
-from trafficlake.paths import exists, files, move, names, qualified, read_text, remove, same_file_system, write_text
+from trafficlake.paths import exists, files, move_all, names, read_text, remove, same_file_system, write_text
 from trafficlake.schema import PARTITION_KEYS
 from trafficlake.session import session_settings
 from trafficlake.sources.codec import classify_messages, quarantine
@@ -24,10 +24,7 @@ from trafficlake.sources.codec import classify_messages, quarantine
 _KEPT_LISTS = 100
 _EVENTS, _ASIDE = "events", "quarantine"
 #: Adaptive execution is off in streams; a micro-batch without state can use it.
-_SETTINGS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-}
+_SETTINGS = {"spark.sql.adaptive.enabled": "true"}
 
 
 def sorted_messages(messages: DataFrame, keep_quarantined: bool) -> DataFrame:
@@ -61,12 +58,15 @@ class _Sink:
     def store(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         staging, listed = f"{self.out}/_staging/{self.stream}-{number}", f"{self.lists}/{number:012d}.json"
-        if not exists(spark, listed):
+        if exists(spark, listed):
+            # It was committed before; what is still here has not been moved.
+            moves = [move for move in json.loads(read_text(spark, listed)) if exists(spark, move[0])]
+        else:
             remove(spark, staging)
             with session_settings(spark, _SETTINGS):
                 self._stage(batch, staging)
-            self._commit(spark, staging, listed, number)
-        self._deliver(spark, listed)
+            moves = self._commit(spark, staging, listed, number)
+        move_all(spark, moves)
         remove(spark, staging)
         for name in names(spark, self.lists)[:-_KEPT_LISTS]:
             remove(spark, f"{self.lists}/{name}")
@@ -80,23 +80,17 @@ class _Sink:
             rows = _spread(rows, self.writers, self.spread)
         rows.write.partitionBy("sink", *PARTITION_KEYS).text(staging)
 
-    def _commit(self, spark: SparkSession, staging: str, listed: str, number: int) -> None:
+    def _commit(self, spark: SparkSession, staging: str, listed: str, number: int) -> list[tuple[str, str]]:
         """List where each file comes from and goes to."""
-        root = qualified(spark, staging)
         moves = []
         for file in files(spark, staging):
-            sink, _, rest = file.removeprefix(f"{root}/").partition("/")
+            sink, _, rest = file.partition("/")
             folder, _, name = rest.rpartition("/")
-            if sink == f"sink={_EVENTS}":
-                moves.append((file, f"{self.out}/{folder}/{self.stream}-{number:012d}-{name}"))
-            elif sink == f"sink={_ASIDE}":
-                moves.append((file, f"{self.quarantine}/{self.stream}-{number:012d}-{name}"))
+            name = f"{self.stream}-{number:012d}-{name}"
+            target = f"{self.out}/{folder}/{name}" if sink == f"sink={_EVENTS}" else f"{self.quarantine}/{name}"
+            moves.append((f"{staging}/{file}", target))
         write_text(spark, listed, json.dumps(moves))
-
-    def _deliver(self, spark: SparkSession, listed: str) -> None:
-        for source, target in json.loads(read_text(spark, listed)):
-            if exists(spark, source):
-                move(spark, source, target)
+        return moves
 
 
 def _spread(df: DataFrame, writers: int, spread: int | None) -> DataFrame:
