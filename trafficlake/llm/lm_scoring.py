@@ -35,7 +35,7 @@ UNSEEN = 0.5
 CHUNK_BYTES = 6_000_000
 BUCKET_BYTES = 3_500_000
 #: Groups that a task reads, so that the number of tasks follows the input.
-GROUPS_PER_TASK = 2
+GROUPS_PER_TASK = 1
 #: N-grams in a message, about; where they would be fewer, chunks send by families.
 LEAST_MESSAGE = 200
 #: What a row costs beside its text. Copies of one row that are more than this part of a chunk count as one row.
