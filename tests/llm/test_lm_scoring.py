@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from trafficlake.llm import lm_scoring
@@ -98,6 +99,19 @@ def test_third_of_the_rows_alike(spark, small_chunks, monkeypatch, least):
     assert len(listed) == 4
 
 
+def test_a_shared_hash_gives_no_infinite_score():
+    """An n-gram whose hash another one has seems to occur elsewhere though its first words don't."""
+    chunk = lm_scoring.Chunk([b"new words here"], 3, 48)
+    grams, totals = chunk.counted(np.array([1]))
+    seen = totals.copy()
+    seen[0] += 100
+    unseen = chunk.scores(seen, 0.4)
+    for i in (chunk.grams[1][0], chunk.grams[2][0]):
+        shared = seen.copy()
+        shared[np.searchsorted(grams, i)] += 1
+        assert chunk.scores(shared, 0.4) == pytest.approx(unseen)
+
+
 def test_messages_grow_with_the_power_of_one_and_a_half():
     """The formula of the docstring, from the sizes that the operator works with."""
 

@@ -104,6 +104,8 @@ class Chunk:
         backed = np.minimum(self.place, len(counts) - 1)  # steps down from the longest n-gram there is
         result += backed * math.log(alpha)
         for n in range(1, len(counts)):
+            # Never more often than its first words, whatever its hash may share with another n-gram.
+            counts[n][1:] = np.minimum(counts[n][1:], counts[n - 1][:-1])
             seen = np.flatnonzero(counts[n] > 0)
             result[seen] = np.log(counts[n][seen] / counts[n - 1][seen - 1]) + (backed[seen] - n) * math.log(alpha)
         return np.bincount(self.doc, weights=result, minlength=len(self.lengths))
