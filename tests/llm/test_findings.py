@@ -2,6 +2,7 @@
 
 import base64
 import difflib
+import hashlib
 import itertools
 import random
 
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import exact_groups, one_scratch_folder
-from trafficlake.llm import common, packing
+from trafficlake.llm import common, doc_fingerprints, packing
 from trafficlake.llm.common import passing_tables, staged, table
 from trafficlake.llm.doc_fingerprints import fingerprints
 from trafficlake.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
@@ -317,3 +318,49 @@ def test_language_scores_against_kernel_ridge_from_sets():
     languages, expected = _plain_language_scores(texts, labels, landmarks, asked)
     assert model.languages == languages
     assert model.scores([model.found(t) for t in asked]) == pytest.approx(expected, abs=2e-3)
+
+
+def test_texts_put_together_from_two_beginnings():
+    """Arrays, spans and fingerprint of an edited text follow from those of the two texts."""
+    rng = random.Random(4)
+    text, other = ("".join(rng.choices("abcd \U0001f600\n", k=k)) for k in (900, 700))
+    for a, b in [(text, other), (text, ""), ("", other), ("", ""), (text[:31], other[:40]), ("x", "y"), (text, text)]:
+        for keep, take in [(len(a) - len(a) // 2, len(a) // 2), (0, 5), (len(a), 40), (3, 2000)]:
+            made, plain = PrefixHash(a).edited(keep, PrefixHash(b), take), PrefixHash(a[:keep] + b[:take])
+            assert made.fingerprint() == plain.fingerprint() and made.n == plain.n
+            assert np.array_equal(made.spans(), plain.spans()) and made.shared(plain) == 1
+            assert all(map(np.array_equal, made.prefix, plain.prefix))
+
+
+def _ranges(spark, rows):
+    """The rows in the order they are compared in, by place."""
+    places = {}
+    for r in doc_fingerprints._in_order(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        places.setdefault(r["place"], []).append((r["guest"], r["doc_id"], r["text"]))
+    return places
+
+
+def test_one_id_does_not_fill_a_range(spark):
+    """Rows with one id, or none, go to several ranges, and each row still meets exactly one next row, in a ring."""
+    rows = [(None, f"nameless {i}") for i in range(400)] + [(7, f"seven {i}") for i in range(400)]
+    rows += [(i, f"text {i}") for i in range(1000, 1400)] + [(7, "seven 3"), (None, "nameless 5")]
+    places = _ranges(spark, rows)
+    assert max(len(x) for x in places.values()) < len(rows) / 4
+    assert sum(len({x[1] for x in p} & {7}) for p in places.values()) > 1
+    own = [x[1:] for place in sorted(places) for x in places[place] if not x[0]]
+    assert sorted(own, key=str) == sorted(rows, key=str)
+    assert [i for i, _ in own] == sorted((i for i, _ in own), key=lambda i: -1 if i is None else i, reverse=True)
+    order = sorted(places)
+    for place, following in zip(order, [*order[1:], order[0]]):
+        first = next(x[1:] for x in places[following] if not x[0])
+        assert {x[1:] for x in places[place] if x[0]} == {first}
+    found = fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(str(r["doc_id"]) for r in found) == sorted(str(i) for i, _ in rows)
+    following = dict(zip(own, [*own[1:], own[0]]))
+    edited = {hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest() for (_, t), (_, n) in following.items()}
+    assert edited <= {r["edited_sha256"] for r in found}
+
+
+def test_ranges_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(doc_fingerprints, "RANGE_BYTES", 1000)
+    assert 32 <= len(_ranges(spark, [(i, "x" * 100) for i in range(640)])) <= 64
