@@ -65,6 +65,7 @@ class PrefixHash:
         self.prefix = sums
         self._read = [memoryview(x) for x in sums]  # gives Python numbers, faster than the array
         self._spans = spans
+        self._anchors: tuple[np.ndarray, np.ndarray] | None = None
 
     def edited(self, keep: int, other: "PrefixHash", take: int) -> "PrefixHash":
         """The arrays of the first ``keep`` code points followed by the first ``take`` of ``other``."""
@@ -122,6 +123,13 @@ class PrefixHash:
             self._spans = self._span_numbers(0, max(0, self.n - SPAN + 1))
         return self._spans
 
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the anchors, and the numbers of their spans."""
+        if self._anchors is None:
+            places = (self.spans() < (1 << 32) // ANCHOR_PART).nonzero()[0]
+            self._anchors = places, self.spans()[places]
+        return self._anchors
+
     def _span_numbers(self, start: int, end: int) -> np.ndarray:
         if start >= end:
             return np.zeros(0, np.uint32)
@@ -143,12 +151,11 @@ class PrefixHash:
             return 0.0
         head, tail = self.common(0, other, 0), self.common_before(self.n, other, other.n)
         found = [(0, 0, head), (self.n - tail, other.n - tail, tail)]
-        mine, theirs = (np.flatnonzero(x.spans() < (1 << 32) // ANCHOR_PART) for x in (self, other))
+        (mine, wanted), (theirs, values) = self.anchors(), other.anchors()
         if len(theirs) and len(mine):
-            values = other.spans()[theirs]
-            first = np.argsort(values, kind="stable")
-            values, wanted = values[first], self.spans()[mine]
-            at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+            first = values.argsort(kind="stable")
+            values = values[first]
+            at = np.minimum(values.searchsorted(wanted), len(values) - 1)
             both = values[at] == wanted
             reached, shift = head, 0
             for i, j in zip(mine[both].tolist(), theirs[first[at[both]]].tolist()):
