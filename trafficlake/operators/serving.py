@@ -127,13 +127,14 @@ def sample_order() -> list[str]:
 
 
 def sample_part() -> F.Column:
-    return F.pmod(F.xxhash64("timestamp", "sensor_id"), F.lit(_SAMPLE_TASKS))
+    """The part of a row's task, so that a task's rows are cut to the first ones before the shuffle, whatever their keys."""
+    return F.spark_partition_id() % _SAMPLE_TASKS
 
 
 def sample_events(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
     """The ``n`` earliest events in a fixed column order.
 
-    Each task keeps its first ``n`` rows; hashed into ``_SAMPLE_TASKS`` parts these are cut to ``n`` again,
+    Each task keeps its first ``n`` rows; gathered by task into ``_SAMPLE_TASKS`` parts these are cut to ``n`` again,
     so that the last task sees ``n`` rows from each of those only, however many tasks there were.
     """
     order = sample_order()

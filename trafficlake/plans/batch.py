@@ -11,7 +11,7 @@ from trafficlake.operators.quality import clean, dedup, observed_survivors, tall
 from trafficlake.operators.serving import sample_events
 from trafficlake.paths import overlap, remove, total_bytes
 from trafficlake.schema import KPI_NAMES, KPI_PARTITIONING, SAMPLE_ROWS
-from trafficlake.session import scratch_dir, session_settings, settings_for
+from trafficlake.session import scratch_dir, session_settings, settings_for, staged_settings_for
 from trafficlake.sinks.kpi import write_kpi, write_sample
 from trafficlake.sources.raw import day_folders, read_raw_checked, read_raw_days
 from trafficlake.versions import new_version, publish
@@ -98,9 +98,10 @@ def run_batch(
             counts = Observation("stage counts")
             observed_survivors(enrich(tally(events)), counts).write.mode("overwrite").parquet(staged)
             quality = counts.get
-            clean_rows = clean_events(spark, staged)
-            write_kpis(clean_rows, analytics, f"{scratch}/kpi_all", versions)
-            write_sample(sample_events(clean_rows, sample_rows), sample)
+            with session_settings(spark, staged_settings_for(size)):
+                clean_rows = clean_events(spark, staged)
+                write_kpis(clean_rows, analytics, f"{scratch}/kpi_all", versions)
+                write_sample(sample_events(clean_rows, sample_rows), sample)
     finally:
         remove(spark, scratch)
     return BatchResult(quality_row(spark, quality), clean_path)

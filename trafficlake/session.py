@@ -65,22 +65,33 @@ def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[
 
 _MIB = 1024**2
 _GIB = 1024**3
+_MERGED_BYTES = 32 * _MIB
 
 
 def settings_for(input_bytes: int) -> dict[str, str]:
     """Session settings for a batch over ``input_bytes`` of raw JSON.
 
-    Adaptive execution merges small shuffle partitions but cannot split those of an aggregate,
-    so their number follows the input: one per 4 GiB of JSON, about 1 GiB once shuffled. Large
-    inputs also get larger scan tasks, at most about 100,000 of them, as shuffle bookkeeping
-    grows with the product of the two numbers.
+    Adaptive execution merges small shuffle partitions, here up to ``_MERGED_BYTES``, about a million events; it cannot
+    split those of an aggregate, so their number follows the input: one per GiB of JSON. An aggregate sorts its
+    partition, in about as much memory as the JSON has. Large inputs get larger partitions, at most about 25,000 of
+    them, and larger scan tasks, at most about 100,000, as shuffle bookkeeping grows with the product of the two numbers.
     """
-    scan_bytes = min(max(128 * _MIB, input_bytes // 100_000), _GIB)
+    shuffle_bytes = max(_GIB, input_bytes // 25_000)
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * _MIB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_MERGED_BYTES),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.shuffle.partitions": str(-(-input_bytes // (4 * _GIB))),
-        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
+        "spark.sql.shuffle.partitions": str(-(-input_bytes // shuffle_bytes)),
+        "spark.sql.files.maxPartitionBytes": str(_scan_bytes(input_bytes)),
     }
+
+
+def staged_settings_for(input_bytes: int) -> dict[str, str]:
+    """Session settings for reading back the clean Parquet table of ``input_bytes`` of raw JSON. It takes about a tenth of
+    the bytes, so scan tasks as large as those of the JSON would hold ten times the rows."""
+    return {"spark.sql.files.maxPartitionBytes": str(_scan_bytes(input_bytes) // 8)}
+
+
+def _scan_bytes(input_bytes: int) -> int:
+    return min(max(128 * _MIB, input_bytes // 100_000), _GIB)
