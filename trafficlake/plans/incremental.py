@@ -18,7 +18,7 @@ from trafficlake.operators.serving import sample_events, sample_order, sample_pa
 from trafficlake.paths import exists, remove, stamp, total_bytes
 from trafficlake.plans.batch import quality_row, require_apart, write_rollup
 from trafficlake.schema import READING, SAMPLE_COLUMNS, SAMPLE_ROWS
-from trafficlake.session import scratch_dir, session_settings, settings_for
+from trafficlake.session import scratch_dir, session_settings, settings_for, staged_settings_for
 from trafficlake.sinks.kpi import write_sample
 from trafficlake.sources.raw import lake_days, read_day_folders
 
@@ -60,7 +60,7 @@ def _replace(rows: DataFrame, partials: str, name: str, days: list[str], **marks
 
 
 def _day_sample(events: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` events of each day, cut in hash parts of the day first, as ``sample_events`` does."""
+    """The first ``n`` events of each day, cut in parts of the day first, as ``sample_events`` does."""
     rows = events.select("day", *SAMPLE_COLUMNS).withColumn("part", sample_part())
     for keys in (["day", "part"], ["day"]):
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*sample_order()))
@@ -127,14 +127,15 @@ def _read_days(
     with session_settings(spark, settings_for(size)):
         # Written, not cached; each day has one row more, for all that was not kept.
         enrich(tally(read_day_folders(spark, raw, list(folders.values())), by=["day"])).write.parquet(f"{scratch}/clean")
-        tallied = spark.read.parquet(f"{scratch}/clean")
-        events = survivors(tallied)
-        days = list(folders)
-        _replace(kpi_cube(events, by=["day"]), partials, "cube", days, events=0)
-        _replace(_day_sample(events, sample_rows), partials, "sample", days, present=False)
-        stamped = spark.createDataFrame(list(stamps.items()), "day string, stamp string")
-        counts = stamped.join(tally_report(tallied, by=["day"]), "day", "left").fillna(0, _COUNTS)
-        _replace(counts.withColumn("sample_rows", F.lit(sample_rows)), partials, "days", [])
+        with session_settings(spark, staged_settings_for(size)):
+            tallied = spark.read.parquet(f"{scratch}/clean")
+            events = survivors(tallied)
+            days = list(folders)
+            _replace(kpi_cube(events, by=["day"]), partials, "cube", days, events=0)
+            _replace(_day_sample(events, sample_rows), partials, "sample", days, present=False)
+            stamped = spark.createDataFrame(list(stamps.items()), "day string, stamp string")
+            counts = stamped.join(tally_report(tallied, by=["day"]), "day", "left").fillna(0, _COUNTS)
+            _replace(counts.withColumn("sample_rows", F.lit(sample_rows)), partials, "days", [])
 
 
 def _roll_up(
