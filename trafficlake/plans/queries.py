@@ -397,8 +397,10 @@ def batch_job_incremental(spark, sf_dir, source=traffic_from_events):
 def incremental_quality(spark, sf_dir, source=traffic_hard):
     """Stage counts added up over days, lines that cannot be read among them."""
     scratch = scratch_dir(spark, "job")
-    keyed = en.with_partition_keys(source(spark, sf_dir, "event_id")).withColumn("value", _line_or_broken())
-    lines = keyed.select("value", *PARTITION_KEYS)
+    keyed = en.with_partition_keys(source(spark, sf_dir, "event_id"))
+    # By directory, as write_raw does it; the lines, longer than the columns, are made behind the shuffle.
+    balanced = keyed.hint("rebalance", *[F.col(k) for k in PARTITION_KEYS])
+    lines = balanced.select(_line_or_broken().alias("value"), *PARTITION_KEYS)
     lines.write.partitionBy(*PARTITION_KEYS).text(f"{scratch}/raw")
     return run_incremental(spark, *[f"{scratch}/{name}" for name in ("raw", "partials", "analytics", "sample")]).quality
 
