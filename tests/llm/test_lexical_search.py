@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from trafficlake.llm.lexical_search import build_index, query_terms, search
@@ -131,3 +133,60 @@ def test_index_files_hold_one_row_a_shard(spark):
     assert index.count() > 5
     assert index.selectExpr("explode(docs) as d").distinct().count() == 100
     assert not folders(spark, f"{index.inputFiles()[0].rpartition('/')[0]}/_temporary")
+
+
+def test_a_row_and_a_row_group_of_the_index_stay_small(spark):
+    """A row holds about a megabyte of text and a row group, which Spark reads at once, few rows, however much a task reads."""
+    rng = random.Random(3)
+    docs = [(i, " ".join(f"t{rng.getrandbits(44):011x}" for _ in range(1000))) for i in range(1200)]
+    index = build_index(spark.createDataFrame(docs, DOCS).coalesce(1))
+    files = [pq.read_metadata(f.removeprefix("file://")) for f in index.inputFiles()]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) >= 15 and max(g.num_rows for g in groups) <= 8
+    assert max(g.total_byte_size for g in groups) < 16_000_000
+    assert index.selectExpr("max(size(docs))").first()[0] <= 1_013_000 // 13_000 + 1
+    assert index.selectExpr("explode(docs) as d").distinct().count() == 1200
+
+
+def test_tasks_get_few_documents_at_once(spark):
+    """The words are the rows of the batches that a task gets while the index is built; settings are as before then."""
+    from trafficlake.llm import lexical_search as ls
+
+    def counted(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f"{len(batch)}"] * len(batch))], ["doc_id", "text"])
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    index = build_index(spark.range(2000, numPartitions=1).mapInArrow(counted, DOCS))
+    found = {t for r in index.collect() for t in ls._unpacked(pa.scalar(bytes(r["terms"]), pa.binary()))["term"].to_pylist()}
+    assert found == {"256", "208"} and spark.conf.get(setting) == before
+
+
+@pytest.mark.parametrize("most", [1, 900, 1_000_000])
+def test_joined_shards_answer_like_the_whole(spark, most):
+    from trafficlake.llm import lexical_search as ls
+
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(50)]
+    weights = [1 / (i + 1) for i in range(50)]
+    docs = [(i if i % 40 else None, " ".join(rng.choices(words, weights, k=rng.randint(0, 60)))) for i in range(600)]
+    wanted = sorted({"nobody", *rng.sample(words, 30)})
+    batches = build_index(spark.createDataFrame(docs, DOCS).coalesce(1), 2000).toArrow().to_batches()
+    counted = [Counter(terms(t)) for _, t in docs if terms(t)]
+    n_docs, n_terms = len(counted), sum(c.total() for c in counted)
+    df = Counter(t for c in counted for t in c)
+    shards = list(ls._joined(iter(batches), pa.array(wanted), n_docs, n_terms, most))
+    assert (len(shards) == 1) == (most == 1_000_000)
+    assert sum(len(x.ids) for x in shards) == 600
+    asked = [(0, wanted), (1, wanted[:4]), (2, ["nobody"])]
+    answers = {}
+    for item, of in asked:
+        best = ls._Best(10)
+        weighed = [(wanted.index(t), math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))) for t in of]
+        for shard in shards:
+            shard.answer(weighed, best)
+        ids = [None if nameless else int(i) for i, nameless in zip(best.ids, best.nameless)]
+        if ids:
+            answers[item] = [(r, i, int(s)) for r, (i, s) in enumerate(zip(ids, best.scores), 1)]
+    assert answers == plain(docs, [(item, " ".join(of)) for item, of in asked])

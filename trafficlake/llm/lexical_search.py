@@ -1,19 +1,21 @@
 """Ranked lexical search: accumulators of short lists as one iterator among the long lists.
 
-Documents are dealt to shards of some megabytes of text, in the order they are read, and each shard's inverted
-index is one row of a written table: no postings are shuffled, and a search takes the postings of its own terms
-only. Sizes of the corpus and document frequencies are sums over that table.
+Documents are dealt to shards of about a megabyte of text, in the order they are read, and each shard's inverted
+index is one row of a written table: no postings are shuffled. Sizes of the corpus and document frequencies are
+sums over that table. Spark carries a row's terms and postings as packed bytes and few rows at a time; a task of a
+search unpacks one row after the other, takes the postings of its own terms only, and joins those of several shards.
 
-Within a shard a query is answered in two steps. Short lists are added up term at a time into accumulators,
+Within joined shards a query is answered in two steps. Short lists are added up term at a time into accumulators,
 sorted by document. These then count as one list, bounded by the largest sum, beside the long lists with the
 bound of each. All are read document at a time, a range of documents after the other: lists whose bounds
 together stay below the k-th best score so far bring no candidates and are only looked up for candidates of the
-others, largest bound first, while a candidate can still get there. A task carries its best k on from shard to
-shard, and tasks send k rows a query.
+others, largest bound first, while a candidate can still get there. A task carries its best k on from shards to
+shards, and tasks send k rows a query.
 """
 
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +23,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trafficlake.session import scratch_dir
+from trafficlake.session import scratch_dir, session_settings
 
 #: Bytes of text in a shard, about.
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 1_000_000
+#: Shards in a row group of the written table and in a batch that a task gets.
+SHARDS_TOGETHER = 8
+#: Shards are joined for a search until they have so many documents and postings of its terms.
+JOINED = 1_000_000
+#: Documents that Spark reads and hands to a task at once.
+DOCS_TOGETHER = 256
 #: A list is short if it has at most one in so many of the shard's documents.
 SHORT_SHARE = 16
 #: Documents looked at together.
@@ -40,10 +48,7 @@ _TF = 1000
 _LENGTH = 8
 _LEVEL, _SHARE = 10, 90
 
-_INDEX = (
-    "docs array<bigint>, lengths array<bigint>, terms array<string>, df array<bigint>, "
-    "most array<bigint>, least array<bigint>, places binary, tfs binary"
-)
+_INDEX = "docs array<bigint>, lengths array<bigint>, terms binary, postings binary"
 _HITS = "item_id bigint, doc_id bigint, score bigint"
 _NO_ID = np.iinfo(np.int64).max
 
@@ -67,6 +72,20 @@ def _words(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]
     return terms, numbers.astype(np.int64), owner
 
 
+def _packed(columns: dict[str, pa.Array | np.ndarray]) -> pa.Array:
+    """Columns as one compressed value, which is nothing but bytes to Spark."""
+    batch = pa.RecordBatch.from_pydict(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return pa.array([sink.getvalue().to_pybytes()], pa.binary())
+
+
+def _unpacked(value: pa.BinaryScalar) -> pa.RecordBatch:
+    with pa.ipc.open_stream(value.as_buffer()) as stream:
+        return stream.read_next_batch()
+
+
 def _shard(ids: list[int | None], texts: list[bytes | None]) -> Iterator[pa.RecordBatch]:
     """The inverted index of some documents as one row, none if they have no term."""
     terms, numbers, owner = _words(texts)
@@ -74,18 +93,11 @@ def _shard(ids: list[int | None], texts: list[bytes | None]) -> Iterator[pa.Reco
         return
     posting, tf = np.unique(numbers * len(texts) + owner, return_counts=True)
     term, place = np.divmod(posting, len(texts))
-    df = np.bincount(term, minlength=len(terms))
-    starts = np.cumsum(df) - df
-    lengths = np.bincount(owner, minlength=len(texts))
     columns = {
         "docs": pa.array([ids], pa.list_(pa.int64())),
-        "lengths": pa.array([lengths], pa.list_(pa.int64())),
-        "terms": pa.ListArray.from_arrays([0, len(terms)], terms.cast(pa.string())),
-        "df": pa.array([df], pa.list_(pa.int64())),
-        "most": pa.array([np.maximum.reduceat(tf, starts)], pa.list_(pa.int64())),
-        "least": pa.array([np.minimum.reduceat(lengths[place], starts)], pa.list_(pa.int64())),
-        "places": pa.array([place.astype("<u4").tobytes()], pa.binary()),
-        "tfs": pa.array([tf.astype("<u4").tobytes()], pa.binary()),
+        "lengths": pa.array([np.bincount(owner, minlength=len(texts))], pa.list_(pa.int64())),
+        "terms": _packed({"term": terms, "df": np.bincount(term, minlength=len(terms)).astype(np.uint32)}),
+        "postings": _packed({"place": place.astype(np.uint32), "tf": tf.astype(np.uint32)}),
     }
     yield pa.RecordBatch.from_pydict(columns)
 
@@ -98,7 +110,7 @@ def _sharded(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[pa
             text = octets[i].as_py()
             ids.append(batch.column(0)[i].as_py())
             texts.append(text)
-            size += len(text or b"")
+            size += len(text or b"") + 8  # texts may be empty, ids take 8 bytes
             if size >= shard_bytes:
                 yield from _shard(ids, texts)
                 ids, texts, size = [], [], 0
@@ -117,7 +129,12 @@ def build_index(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     path = scratch_dir(docs.sparkSession, "search-index")
     shards = rows.mapInArrow(lambda batches: _sharded(batches, shard_bytes), _INDEX)
-    shards.write.option("compression", "zstd").parquet(path)
+    few = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(DOCS_TOGETHER),
+        "spark.sql.parquet.columnarReaderBatchSize": str(DOCS_TOGETHER),
+    }
+    with session_settings(docs.sparkSession, few):
+        shards.write.options(compression="zstd", **{"parquet.block.row.count.limit": SHARDS_TOGETHER}).parquet(path)
     return docs.sparkSession.read.schema(_INDEX).parquet(path)
 
 
@@ -147,11 +164,11 @@ class _Best:
 class _List:
     """Postings of one term under its weight: documents in order, and what each adds to a score."""
 
-    def __init__(self, shard: "_Shard", slot: int, weight: int):
-        start, n = shard.starts[slot], shard.df[slot]
-        self.docs, self.tfs = shard.places[start : start + n], shard.tfs[start : start + n]
+    def __init__(self, shard: "_Shard", term: int, weight: int):
+        start, end, most, shortest = (x[term : term + 1] for x in shard.lists)
+        self.docs, self.tfs = shard.places[start[0] : end[0]], shard.tfs[start[0] : end[0]]
         self.weight, self.m = weight, shard.m
-        self.bound = int(self._scored(shard.most[slot : slot + 1], shard.shortest[slot : slot + 1])[0])
+        self.bound = int(self._scored(most, shortest)[0])
 
     def _scored(self, tf: np.ndarray, m: np.ndarray) -> np.ndarray:
         tf = tf.astype(np.int64)
@@ -177,25 +194,57 @@ class _Accumulators:
         return self.sums[at]
 
 
+def _held(wanted: pa.Array, terms: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the wanted terms that a shard has, and their places among its own."""
+    places = pc.index_in(wanted, value_set=terms["term"].cast(wanted.type))
+    there = places.is_valid().to_numpy(zero_copy_only=False)
+    return np.flatnonzero(there), places.drop_null().to_numpy().astype(np.int64)
+
+
 class _Shard:
-    """One shard's documents and the postings of the terms that are wanted."""
+    """Documents of a shard, or of several joined, and the postings of the terms that are wanted, by term."""
 
     def __init__(self, batch: pa.RecordBatch, row: int, wanted: pa.Array, n_docs: int, n_terms: int):
-        def numbers(name: str) -> np.ndarray:
-            return batch[name][row].values.to_numpy(zero_copy_only=False)
-
         ids = batch["docs"][row].values
         self.nameless = ids.is_null().to_numpy(zero_copy_only=False)
         self.ids = pc.fill_null(ids, _NO_ID).to_numpy(zero_copy_only=False)
-        self.slots = pc.index_in(wanted, value_set=batch["terms"][row].values).to_numpy(zero_copy_only=False)
-        self.slots = np.where(np.isnan(self.slots), -1, self.slots).astype(np.int64)
-        self.df = numbers("df")
-        self.starts = np.cumsum(self.df) - self.df
-        self.places = np.frombuffer(batch["places"][row].as_buffer(), "<u4").astype(np.int64)
-        self.tfs = np.frombuffer(batch["tfs"][row].as_buffer(), "<u4")
-        self.most = numbers("most")
-        self.m = self._levels(numbers("lengths"), n_docs, n_terms)
-        self.shortest = self._levels(numbers("least"), n_docs, n_terms)
+        self.m = self._levels(batch["lengths"][row].values.to_numpy(zero_copy_only=False), n_docs, n_terms)
+        terms, postings = _unpacked(batch["terms"][row]), _unpacked(batch["postings"][row])
+        df = terms["df"].to_numpy().astype(np.int64)
+        held, at = _held(wanted, terms)
+        n = df[at]
+        picked = np.repeat((np.cumsum(df) - df)[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        self.n_wanted = len(wanted)
+        self.terms = np.repeat(held, n)
+        self.places = postings["place"].to_numpy()[picked].astype(np.int64)
+        self.tfs = postings["tf"].to_numpy()[picked]
+
+    @classmethod
+    def joined(cls, shards: list["_Shard"]) -> "_Shard":
+        """The documents of shards one after the other, as one shard."""
+        if len(shards) == 1:
+            return shards[0]
+        whole = cls.__new__(cls)
+        whole.n_wanted = shards[0].n_wanted
+        for name in ("nameless", "ids", "m", "terms", "tfs"):
+            setattr(whole, name, np.concatenate([getattr(x, name) for x in shards]))
+        first = np.cumsum([0, *(len(x.ids) for x in shards[:-1])])
+        whole.places = np.concatenate([x.places + n for x, n in zip(shards, first)])
+        order = np.argsort(whole.terms, kind="stable")
+        whole.terms, whole.places, whole.tfs = whole.terms[order], whole.places[order], whole.tfs[order]
+        return whole
+
+    @cached_property
+    def lists(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """By term, where its postings start and end, the most occurrences in one document and the shortest document."""
+        df = np.bincount(self.terms, minlength=self.n_wanted)
+        ends = np.cumsum(df)
+        starts, held = ends - df, np.flatnonzero(df)
+        most, shortest = np.zeros(len(df), np.int64), np.zeros(len(df), np.int64)
+        if len(held):
+            most[held] = np.maximum.reduceat(self.tfs, starts[held])
+            shortest[held] = np.minimum.reduceat(self.m[self.places], starts[held])
+        return starts, ends, most, shortest
 
     @staticmethod
     def _levels(lengths: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
@@ -206,7 +255,8 @@ class _Shard:
 
     def answer(self, terms: list[tuple[int, int]], best: _Best) -> None:
         """Add what this shard has for a query: numbers of its terms among the wanted, with their weights."""
-        lists = [_List(self, self.slots[t], weight) for t, weight in terms if weight > 0 and self.slots[t] >= 0]
+        starts, ends = self.lists[:2]
+        lists = [_List(self, t, weight) for t, weight in terms if weight > 0 and starts[t] < ends[t]]
         if not lists:
             return
         short = [x for x in lists if len(x.docs) * SHORT_SHARE <= len(self.ids)]
@@ -295,13 +345,35 @@ def _blocks(items: Iterator, most: int) -> Iterator[list[tuple[int | None, list[
         yield block
 
 
+def _joined(batches: Iterator[pa.RecordBatch], wanted: pa.Array, n_docs: int, n_terms: int, most: int) -> Iterator[_Shard]:
+    """A task's shards, joined until they have ``most`` documents and wanted postings."""
+    shards, size = [], 0
+    for batch in batches:
+        for row in range(len(batch)):
+            shards.append(_Shard(batch, row, wanted, n_docs, n_terms))
+            size += len(shards[-1].ids) + len(shards[-1].places)
+            if size >= most:
+                yield _Shard.joined(shards)
+                shards, size = [], 0
+    if shards:
+        yield _Shard.joined(shards)
+
+
 def _frequencies(index: DataFrame, wanted: list[str]) -> dict[str, int]:
-    """In how many documents each of a block's terms is. The block bounds both the filter and the result."""
-    spark = index.sparkSession
-    asked = F.broadcast(spark.createDataFrame([(t,) for t in wanted], "term string"))
-    pairs = index.select(F.explode(F.arrays_zip("terms", "df")).alias("x")).select(F.col("x.terms").alias("term"), "x.df")
-    counts = pairs.join(asked, "term").groupBy("term").agg(F.sum("df").alias("df"))
-    return {r["term"]: r["df"] for r in counts.collect()}
+    """In how many documents each of a block's terms is. The block bounds what a task holds and sends."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, df = pa.array(wanted, pa.string()), np.zeros(len(wanted), np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                terms = _unpacked(value)
+                held, at = _held(asked, terms)
+                df[held] += terms["df"].to_numpy()[at]
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(df[held])], ["term", "df"])
+
+    counts = index.select("terms").mapInArrow(counted, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+    return {wanted[r["term"]]: r["df"] for r in counts.collect()}
 
 
 def _answers(index: DataFrame, block: list, n_docs: int, n_terms: int, k: int) -> DataFrame:
@@ -315,12 +387,9 @@ def _answers(index: DataFrame, block: list, n_docs: int, n_terms: int, k: int) -
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [_Best(k) for _ in items]
-        terms = pa.array(wanted, pa.string())
-        for batch in batches:
-            for row in range(len(batch)):
-                shard = _Shard(batch, row, terms, n_docs, n_terms)
-                for item, found in zip(items, best):
-                    shard.answer(item, found)
+        for shard in _joined(batches, pa.array(wanted, pa.string()), n_docs, n_terms, JOINED):
+            for item, found in zip(items, best):
+                shard.answer(item, found)
         for name, found in zip(names, best):
             if len(found.scores):
                 ids = pa.array(found.ids, pa.int64(), mask=found.nameless)
@@ -351,8 +420,9 @@ def search(index: DataFrame, queries: DataFrame, k: int = BEST, block_terms: int
     spark.createDataFrame([], _HITS).write.parquet(path)
     if sizes["docs"]:
         for block in _blocks(query_terms(queries).toLocalIterator(), block_terms):
-            answers = _answers(index, block, int(sizes["docs"]), int(sizes["terms"]), k)
-            answers.write.mode("append").parquet(path)
+            with session_settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(SHARDS_TOGETHER)}):
+                answers = _answers(index, block, int(sizes["docs"]), int(sizes["terms"]), k)
+                answers.write.mode("append").parquet(path)
     hits = spark.read.schema(_HITS).parquet(path)
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
